@@ -16,16 +16,31 @@ def group_entries(
 ) -> DataFrame:
     """``log_file, line_no, line`` -> ``log_file, start_line_no, raw, n_lines``.
 
+    With grouping off every line is an entry.
+    """
+    if not config.multiline:
+        return lines.select(
+            "log_file", F.col("line_no").alias("start_line_no"), F.col("line").alias("raw"), F.lit(1).alias("n_lines")
+        )
+    return entry_members(lines, config, is_start).select(
+        "log_file",
+        "start_line_no",
+        join_members(F.col("members"), config).alias("raw"),
+        F.size("members").alias("n_lines"),
+    )
+
+
+def entry_members(
+    lines: DataFrame, config: ParserConfig = ParserConfig(), is_start: Column | None = None
+) -> DataFrame:
+    """``log_file, line_no, line`` -> ``log_file, start_line_no, members``, members in line order.
+
     A line that starts an entry opens it and the others join it; lines before the first start are
     an entry of their own; an entry is cut every ``max_lines`` lines. Line numbers of a file must
     be gap-free. A file is worked on in blocks: only the last start line of each block crosses
     to the blocks behind it, so one huge file spreads over the whole cluster.
     """
     start = is_entry_start(F.col("line"), config) if is_start is None else is_start
-    if not config.multiline:
-        return lines.select(
-            "log_file", F.col("line_no").alias("start_line_no"), F.col("line").alias("raw"), F.lit(1).alias("n_lines")
-        )
     if "block" not in lines.columns:
         lines = lines.withColumn("block", F.floor(F.col("line_no") / LINES_PER_BLOCK))
     marked = lines.withColumn("_start", F.when(start, F.col("line_no")))
@@ -53,11 +68,11 @@ def group_entries(
     return (
         opened.withColumn("_chunk", chunk)
         .groupBy("log_file", "_entry", "_chunk")
-        .agg(F.min("line_no").alias("start_line_no"), members.alias("_members"))
-        .select(
-            "log_file",
-            "start_line_no",
-            F.array_join(F.transform("_members", lambda m: m["line"]), config.join_with).alias("raw"),
-            F.size("_members").alias("n_lines"),
-        )
+        .agg(F.min("line_no").alias("start_line_no"), members.alias("members"))
+        .select("log_file", "start_line_no", "members")
     )
+
+
+def join_members(members: Column, config: ParserConfig) -> Column:
+    """The entry text of its sorted lines."""
+    return F.array_join(F.transform(members, lambda m: m["line"]), config.join_with)

@@ -62,8 +62,7 @@ def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
         "message",
         "n",
         F.struct(
-            "_constants", (-F.col("cluster_id").cast("decimal(20,0)")).alias("_order"), "cluster_id",
-            F.col("_masked").alias("template"),
+            "_constants", (-F.col("cluster_id")).alias("_order"), "cluster_id", F.col("_masked").alias("template")
         ).alias("_hit"),
     )
     nothing = messages.select("message", "n", F.lit(None).cast(found.schema["_hit"].dataType).alias("_hit"))

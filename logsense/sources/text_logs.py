@@ -15,6 +15,7 @@ from logsense.functions.text import clean_line, split_lines
 def is_excluded(path: Column, exclude_globs: Sequence[str]) -> Column:
     """True where a glob matches the last segments of the path."""
     slashed = F.regexp_replace(F.translate(path, "\\", "/"), "/(?:\\./)+|/{2,}", "/")
+    slashed = F.regexp_replace(slashed, "(?<=.)/$", "")
     patterns = [right_anchored_glob(g.replace("\\", "/")) for g in exclude_globs]
     tests = [slashed.rlike("(?s)" + p) for p in patterns if p]
     return reduce(lambda a, b: a | b, tests, F.lit(False))
