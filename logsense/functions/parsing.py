@@ -75,6 +75,12 @@ def parse_entries(entries: DataFrame, config: ParserConfig = ParserConfig()) ->
         missed = reduce(lambda a, b: a & b, [F.col(f"_g{j}").isNull() for j in range(i)], F.lit(True))
         df = _with_captures(df, pattern, f"_g{i}", missed)
 
+    # One pass through a generator: without it a filter on a parsed column would be pushed below
+    # the captures and repeat all regexes inside itself.
+    caught = [f"_g{i}" for i in range(len(patterns))]
+    if caught:
+        df = df.select(*entries.columns, F.inline(F.array(F.struct(*caught))))
+
     def field(name: str, convert, missing: Column, fallback: Column) -> Column:
         """The group of the matching pattern; ``missing`` if that pattern lacks it."""
         out = None

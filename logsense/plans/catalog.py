@@ -33,7 +33,7 @@ from logsense.operators.templates import (
     assign_templates, match_logs, new_messages, template_table,
 )
 from logsense.operators.thresholds import learn_thresholds
-from logsense.plans.detect import detect, report
+from logsense.plans.detect import detect
 from logsense.plans.parse import parse_log_files
 from logsense.plans.train import embed_templates, train
 from logsense.session import materialize, scratch_path
@@ -442,12 +442,6 @@ def detect_events(spark, sf_dir):
     )
 
 
-def detect_report(spark, sf_dir):
-    templates = materialize(quiet_templates(spark, sf_dir), "templates")
-    found = detect(parsed_events(spark, sf_dir), templates, prototype_model(templates), hashed_embedder(DIMS))
-    return report(found).select("level", "component", "n", F.round("max_distance", 6).alias("max_distance"))
-
-
 def train_and_detect(spark, sf_dir):
     """Every stage with its own learned parts: mine, embed, choose k, fit, learn limits, detect."""
     parsed = parsed_events(spark, sf_dir)
@@ -560,7 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomalies_per_cluster, anomalies_common, scores_open_cluster,
         cluster_quality, silhouette_fast, k_eval, k_suggestion, k_elbow, k_metric_series, vector_sample,
         kmeans_fit, minibatch_fit, k_sweep, kmeans_auto_k, pca_projection, pca_projection_sample,
-        detect_events, detect_report, train_and_detect,
+        detect_events, train_and_detect,
         text_file_lines, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, model_roundtrip,
         stream_parse, stream_score, stream_detect, stream_entries, stream_level_windows,
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
 from logsense.functions.correction import with_correction
@@ -34,12 +33,3 @@ def detect(
     scored = embed_distinct(rows, "corrected_template", embedder or hashed_embedder())
     odd = find_anomalies(scored, model, common=common)
     return lookup_join(rows, odd, "corrected_template", "n", how="inner").drop("corrected_template")
-
-
-def report(anomalies: DataFrame) -> DataFrame:
-    """Counts per level, component and cluster, the largest first."""
-    return (
-        anomalies.groupBy("level", "component", "cluster")
-        .agg(F.count("*").alias("n"), F.max("distance").alias("max_distance"))
-        .orderBy(F.desc("n"), "level", "component", "cluster")
-    )

@@ -29,10 +29,10 @@ parsed AS (
     CASE WHEN a.ts <> '' THEN a.ts WHEN b.ts <> '' THEN b.ts END AS timestamp,
     CASE WHEN a.ts <> '' THEN upper(a.level) END AS level,
     CASE WHEN a.ts <> '' THEN a.component END AS component,
-    CASE WHEN a.ts <> '' THEN a.pid::BIGINT WHEN b.ts <> '' THEN b.pid::BIGINT ELSE -1 END AS pid,
-    CASE WHEN a.ts <> '' THEN a.tid::BIGINT ELSE -1 END AS tid,
+    CASE WHEN a.ts <> '' THEN TRY_CAST(a.pid AS BIGINT) WHEN b.ts <> '' THEN TRY_CAST(b.pid AS BIGINT) ELSE -1 END AS pid,
+    CASE WHEN a.ts <> '' THEN TRY_CAST(a.tid AS BIGINT) ELSE -1 END AS tid,
     CASE WHEN a.ts <> '' THEN a.guid END AS file_guid_prefix,
-    CASE WHEN a.ts <> '' THEN a.line_no::BIGINT WHEN b.ts <> '' THEN -1 ELSE event_id END AS line_no,
+    CASE WHEN a.ts <> '' THEN TRY_CAST(a.line_no AS BIGINT) WHEN b.ts <> '' THEN -1 ELSE event_id END AS line_no,
     CASE WHEN a.ts <> '' THEN a.message WHEN b.ts <> '' THEN b.message ELSE raw END AS message
   FROM hit)"""
 _PARSED = "parsing_status, timestamp, level, component, pid, tid, file_guid_prefix, line_no, message"
@@ -314,8 +314,6 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "k_metric_series": f"WITH {SWEEP} SELECT sweep.k, {_SCORES}, k = (SELECT consensus_k FROM suggestion) AS is_chosen FROM sweep",
     "vector_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5(vec_id || ':42'), vec_id LIMIT 200",
     "detect_events": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
-    "detect_report": f"WITH {DETECTED} SELECT level, component, count(*) AS n, round(max(distance), 6) AS max_distance "
-    "FROM (SELECT found.*, cluster FROM found JOIN nearest USING (template)) GROUP BY level, component, cluster",
     "text_file_lines": f"WITH {LINES} SELECT line, count(*) AS n FROM lines GROUP BY line",
     "text_file_parse": f"WITH {EVENTS} SELECT parsing_status, level, component, count(*) AS n, sum(pid)::BIGINT AS pids, "
     "sum(length(message))::BIGINT AS chars FROM parsed WHERE log_file <> 'svc4.log' GROUP BY ALL",
