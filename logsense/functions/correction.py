@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from logsense.functions.text import strip
+from logsense.functions.regex import to_java
+from logsense.functions.text import let, strip
 
 # --- Fixed values: the rules, in order ---------------------------------------------------
 WILDCARD = "<*>"
@@ -24,6 +26,7 @@ DOTTED_CHAIN = r"(?:<\*>\s*\.\s*)+<\*>"
 WILDCARD_RUN = r"(?:<\*>\s*)+<\*>"
 BLANK_RUN = r"[ \t]{2,}"
 # -----------------------------------------------------------------------------------------
+_ANY_CASE = "(?iuUd)"
 
 
 def _user_terms_pattern(terms: Iterable[str]) -> str | None:
@@ -34,22 +37,23 @@ def _user_terms_pattern(terms: Iterable[str]) -> str | None:
 
 
 def correct_template(template: Column, user_strings: Iterable[str] = ()) -> Column:
-    """Ten rules in a fixed order; null gives an empty string."""
-    rules = [
-        ("(?Ud)", DIGITS),
-        ("(?iuUd)", BOOLEANS),
-        ("(?Ud)", WINDOWS_PATH),
-        ("(?Ud)", UNIX_PATH),
-        ("(?iuUd)", _user_terms_pattern(user_strings)),
-        ("(?Ud)", MIXED_TOKEN),
-        ("(?Ud)", DOTTED_CHAIN),
-        ("(?Ud)", WILDCARD_RUN),
-    ]
-    out = F.coalesce(template, F.lit(""))
-    for flags, rule in rules:
-        if rule is not None:
-            out = F.regexp_replace(out, flags + rule, WILDCARD)
-    return strip(F.regexp_replace(out, BLANK_RUN, " "))
+    """Ten rules in a fixed order; null gives an empty string.
+
+    A plain substring test keeps a pattern from running where it cannot match.
+    """
+
+    def rule(col: Column, pattern: str | None, flags: str = "(?Ud)") -> Column:
+        return col if pattern is None else F.regexp_replace(col, flags + to_java(pattern).body, WILDCARD)
+
+    def where(text: str, *patterns: str):
+        return lambda c: F.when(c.contains(text), reduce(rule, patterns, c)).otherwise(c)
+
+    out = rule(rule(F.coalesce(template, F.lit("")), DIGITS), BOOLEANS, _ANY_CASE)
+    out = let(let(out, where(":\\", WINDOWS_PATH)), where("/", UNIX_PATH))
+    out = rule(out, _user_terms_pattern(user_strings), _ANY_CASE)
+    out = let(out, where(WILDCARD, MIXED_TOKEN, DOTTED_CHAIN, WILDCARD_RUN))
+    runs = let(out, lambda c: F.when(c.contains("  ") | c.contains("\t"), F.regexp_replace(c, BLANK_RUN, " ")).otherwise(c))
+    return strip(runs)
 
 
 def with_correction(templates, enabled: bool, user_strings: Iterable[str] = ()):

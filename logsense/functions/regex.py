@@ -9,8 +9,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-# The separators U+001C-U+001F are white space in Python but not in Java.
-_PYTHON_SPACE = r"\s\x1c-\x1f"
+# White space as Python sees it. Spelled out: Java lacks U+001C-U+001F and looks others up slowly.
+PYTHON_SPACE = r"\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 @dataclass(frozen=True)
@@ -37,9 +37,9 @@ def to_java(pattern: str) -> JavaPattern:
         if ch == "\\":
             pair = pattern[i : i + 2]
             if pair == r"\s":
-                out.append(_PYTHON_SPACE if in_class else f"[{_PYTHON_SPACE}]")
+                out.append(PYTHON_SPACE if in_class else f"[{PYTHON_SPACE}]")
             elif pair == r"\S" and not in_class:
-                out.append(f"[^{_PYTHON_SPACE}]")
+                out.append(f"[^{PYTHON_SPACE}]")
             elif pair == r"\Z":
                 out.append(r"\z")
             else:

@@ -29,10 +29,19 @@ def blank_to_null(col: Column) -> Column:
     return F.nullif(strip(col), F.lit(""))
 
 
+def let(col: Column, body) -> Column:
+    """``body(col)`` with ``col`` computed once, however often the body uses it."""
+    return F.transform(F.array(col), body)[0]
+
+
 def sanitize(col: Column) -> Column:
-    """Drop the bad prefix run and invisible marks; a no-break space becomes a space."""
+    """Drop the bad prefix run and invisible marks; a no-break space becomes a space.
+
+    Pure ASCII text, told by its byte count, holds none of them and is left as it is.
+    """
     no_prefix = F.regexp_replace(col, "^(?:" + "|".join(BAD_PREFIXES) + ")+", "")
-    return F.translate(no_prefix, NBSP + BOM + ZERO_WIDTH_AND_BIDI, " ")
+    cleaned = F.translate(no_prefix, NBSP + BOM + ZERO_WIDTH_AND_BIDI, " ")
+    return F.when(F.length(col) == F.octet_length(col), col).otherwise(cleaned)
 
 
 def clean_line(col: Column) -> Column:
@@ -42,6 +51,10 @@ def clean_line(col: Column) -> Column:
 
 def split_lines(col: Column) -> Column:
     """Lines of a whole text. ``\\n``, ``\\r\\n`` and a lone ``\\r`` end a line."""
-    body = F.regexp_replace(col, r"(?:\r\n|\r|\n)\z", "")
-    lines = F.split(body, r"\r\n|\r|\n", -1)
-    return F.when(F.length(col) > 0, lines).otherwise(F.array().cast("array<string>"))
+    newline = F.lit("\n")
+    body = F.replace(F.replace(col, F.lit("\r\n"), newline), F.lit("\r"), newline)
+    parts = F.split(body, "\n", -1)
+    ended = F.slice(parts, F.lit(1), F.size(parts) - 1)
+    return F.when(col == "", F.array().cast("array<string>")).otherwise(
+        F.when(body.endswith("\n"), ended).otherwise(parts)
+    )

@@ -6,19 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logsense.functions.correction import WILDCARD
+from logsense.functions.regex import PYTHON_SPACE
 from logsense.functions.text import strip
 
 
 def tokens_of(message: Column) -> Column:
-    return F.split(strip(message), r"(?U)[\s\x1c-\x1f]+")
+    return F.split(strip(message), f"[{PYTHON_SPACE}]+")
 
 
 def route_key(tokens: Column, routed: int) -> Column:
     """The leading tokens; one that holds a digit counts as a variable."""
     if routed == 0:
         return F.lit("")
-    lead = F.slice(tokens, 1, routed)
-    return F.array_join(F.transform(lead, lambda t: F.when(t.rlike(r"(?U)\d"), WILDCARD).otherwise(t)), " ")
+    return F.regexp_replace(F.array_join(F.slice(tokens, 1, routed), " "), r"(?U)[^ ]*\d[^ ]*", WILDCARD)
 
 
 def wide_hash(*cols: Column) -> Column:

@@ -31,7 +31,10 @@ def l2_normalize(df: DataFrame, col: str = "embedding", out: str | None = None)
 
 
 def nearest_center(centers: np.ndarray, ids: np.ndarray, thresholds: np.ndarray | None = None):
-    """Column function: vector -> struct(cluster, distance, threshold); ties go to the first id."""
+    """Column function: vector -> struct(cluster, distance, threshold); ties go to the first id.
+
+    Distances are rounded to 12 decimals, so that those equal but for the order of summation tie.
+    """
     limits = np.full(len(ids), _INF) if thresholds is None else thresholds
 
     @F.arrow_udf("cluster int, distance double, threshold double")
@@ -42,13 +45,13 @@ def nearest_center(centers: np.ndarray, ids: np.ndarray, thresholds: np.ndarray
         which = np.zeros(len(x), dtype=np.int64)
         for j, center in enumerate(centers):
             diff = x - center
-            squared = np.einsum("ij,ij->i", diff, diff)
-            closer = squared < best
-            best[closer] = squared[closer]
+            distance = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), 12)
+            closer = distance < best
+            best[closer] = distance[closer]
             which[closer] = j
         place = np.cumsum(known) - 1  # row -> index among the non-null vectors
         take = pa.array(place, mask=~known)
-        parts = [pa.array(ids[which], pa.int32()), pa.array(np.sqrt(best)), pa.array(limits[which])]
+        parts = [pa.array(ids[which], pa.int32()), pa.array(best), pa.array(limits[which])]
         return pa.StructArray.from_arrays([p.take(take) for p in parts], ["cluster", "distance", "threshold"])
 
     return nearest

@@ -11,9 +11,11 @@ from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from logsense.functions.vectors import l2_normalize
 from logsense.operators.joins import lookup_join
+from logsense.session import materialize
 
 Embedder = Callable[[DataFrame, str], DataFrame]
 
@@ -73,7 +75,7 @@ def model_embedder(
     make_predict_fn: Callable, batch_size: int = 256, normalize: bool = True
 ) -> Embedder:
     """Any user model: ``make_predict_fn()`` loads it once per task and returns texts -> matrix."""
-    predict = predict_batch_udf(make_predict_fn, return_type="array<double>", batch_size=batch_size)
+    predict = predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size)
 
     def embed(df: DataFrame, text_col: str) -> DataFrame:
         out = df.withColumn("embedding", predict(F.col(text_col).cast("string")))
@@ -90,5 +92,5 @@ def embed_distinct(rows: DataFrame, text_col: str, embedder: Embedder) -> DataFr
 
 def embed_rows(rows: DataFrame, text_col: str, embedder: Embedder) -> DataFrame:
     """Rows with the vector of their text; rows without a vector are dropped."""
-    vectors = embed_distinct(rows, text_col, embedder)
+    vectors = materialize(embed_distinct(rows, text_col, embedder), "vectors")
     return lookup_join(rows, vectors, text_col, "n").filter(F.col("embedding").isNotNull())

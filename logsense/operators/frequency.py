@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from logsense.config import MinerConfig
 from logsense.functions.correction import WILDCARD
 from logsense.functions.tokens import route_key, tokens_of, wide_hash
+from logsense.session import materialize
 
 
 def distinct_messages(logs: DataFrame, message_col: str = "message") -> DataFrame:
@@ -26,16 +27,17 @@ def assign_frequency_templates(
     """``message, n`` -> ``message, n, template``.
 
     Per route and position a token stays if messages holding it there number at least
-    ``support``; every other token becomes ``<*>``.
+    ``support``; every other token becomes ``<*>``. The distinct messages are used three times,
+    so they are written once instead of being counted again from the logs.
     """
-    routed = messages.withColumn("_tokens", tokens_of(F.col("message"))).select(
+    routed = materialize(messages, "messages").withColumn("_tokens", tokens_of(F.col("message"))).select(
         "message",
         "n",
         wide_hash(F.col("message")).alias("_id"),
         wide_hash(F.size("_tokens"), route_key(F.col("_tokens"), config.routed_tokens)).alias("_route"),
         "_tokens",
     )
-    slots = routed.select("_id", "_route", "n", F.posexplode("_tokens").alias("_pos", "_token"))
+    slots = routed.select("_id", "_route", "n", F.posexplode_outer("_tokens").alias("_pos", "_token"))
     slot = ["_route", "_pos", "_token"]
     kept = slots.groupBy(*slot).agg(F.sum("n").alias("_support")).filter(F.col("_support") >= support)
     word = F.when(F.col("_support").isNull(), WILDCARD).otherwise(F.col("_token"))

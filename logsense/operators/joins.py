@@ -12,6 +12,8 @@ SALTS = 1024
 def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, weight: str, how: str = "left") -> DataFrame:
     """``rows`` joined to ``lookup`` (unique on ``key``), where ``weight`` counts the rows of a key.
 
+    ``lookup`` is read twice: pass a stored table.
+
     The HOT_KEYS keys with the most rows are broadcast: that many rows of the lookup, whatever the
     data size. Every other key holds less than 1/HOT_KEYS of the rows, so the shuffle for the rest
     is even; the rows already served are spread by a salt that no lookup row carries. Null keys

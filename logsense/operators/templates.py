@@ -10,6 +10,7 @@ from logsense.functions.correction import WILDCARD, with_correction
 from logsense.functions.tokens import route_key, template_id, tokens_of
 from logsense.operators.frequency import distinct_messages
 from logsense.operators.joins import lookup_join
+from logsense.session import materialize
 
 
 def template_table(assigned: DataFrame, config: MinerConfig = MinerConfig()) -> DataFrame:
@@ -38,6 +39,8 @@ def describe_templates(sized: DataFrame, config: MinerConfig = MinerConfig()) ->
 def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
     """Distinct ``message, n`` -> the same rows with ``template, cluster_id`` or nulls.
 
+    Both inputs are read twice: pass stored tables.
+
     A template matches a message of equal length whose tokens equal all its constants. Rather
     than try every template of a length, a message is masked once per distinct wildcard layout of
     its length and first token, and the masked text is looked up by equality. The match with the
@@ -54,7 +57,7 @@ def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
     leads = F.array_distinct(F.array(F.col("_tokens")[0], F.lit(WILDCARD)))
     tries = (
         messages.withColumn("_tokens", tokens)
-        .select("message", "n", "_tokens", F.size("_tokens").alias("_len"), F.explode(leads).alias("_lead"))
+        .select("message", "n", "_tokens", F.size("_tokens").alias("_len"), F.explode_outer(leads).alias("_lead"))
         .join(layouts, ["_len", "_lead"])
         .select("message", "n", _masked("_tokens", "_mask").alias("_masked"))
     )
@@ -83,14 +86,15 @@ def match_logs(logs: DataFrame, templates: DataFrame, message_col: str = "messag
 
     Adds ``template`` and ``is_new``. Nothing is learned.
     """
-    matched = match_messages(distinct_messages(logs, message_col), templates)
+    messages = materialize(distinct_messages(logs, message_col), "messages")
+    matched = match_messages(messages, materialize(templates, "templates"))
     lookup = matched.select(
         F.col("message").alias(message_col),
         "n",
         F.coalesce("template", "message").alias("template"),
         F.col("template").isNull().alias("is_new"),
     )
-    rows = lookup_join(logs, lookup, message_col, "n")
+    rows = lookup_join(logs, materialize(lookup, "lookup"), message_col, "n")
     return rows.withColumn("template", F.coalesce("template", F.col(message_col))).withColumn(
         "is_new", F.coalesce("is_new", F.lit(True))
     )
@@ -104,4 +108,4 @@ def new_messages(matched_logs: DataFrame, message_col: str = "message") -> DataF
 def assign_templates(logs: DataFrame, assigned: DataFrame, message_col: str = "message") -> DataFrame:
     """Training rows with the template found for their message; rows without text are left out."""
     lookup = assigned.select(F.col("message").alias(message_col), "n", "template")
-    return lookup_join(logs.filter(F.col(message_col) != ""), lookup, message_col, "n", how="inner")
+    return lookup_join(logs.filter(F.col(message_col) != ""), materialize(lookup, "lookup"), message_col, "n", how="inner")

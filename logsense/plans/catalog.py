@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsense.config import ClusterConfig, MinerConfig, ParserConfig
-from logsense.functions.correction import correct_template
+from logsense.functions.correction import WILDCARD, correct_template
 from logsense.functions.parsing import effective_message, parse_entries
+from logsense.functions.tokens import tokens_of
 from logsense.functions.vectors import as_doubles, l2_normalize
 from logsense.operators.clustering import (
     ClusterModel, assign, center_model, centers_frame, evaluate_k_range, fit, inertia, label_centers, train_clusters,
@@ -30,7 +31,7 @@ from logsense.operators.projection import project_2d
 from logsense.operators.sampling import sample_rows
 from logsense.operators.scoring import find_anomalies, score, thresholds_frame
 from logsense.operators.templates import (
-    assign_templates, match_logs, new_messages, template_table,
+    assign_templates, match_logs, match_messages, new_messages, template_table,
 )
 from logsense.operators.thresholds import learn_thresholds
 from logsense.plans.detect import detect
@@ -51,7 +52,10 @@ DIMS = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. One in fewer splits than there are cores is spread over them first."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -197,15 +201,25 @@ def unmatched_messages(spark, sf_dir):
     return new_messages(match_logs(parsed_events(spark, sf_dir), quiet_templates(spark, sf_dir)))
 
 
+def _fit_of(assigned: DataFrame) -> DataFrame:
+    """Each distinct message, its count, and whether its template has its length and tokens."""
+    agree = F.zip_with(tokens_of(F.col("template")), tokens_of(F.col("message")), lambda t, m: (t == WILDCARD) | (t == m))
+    fits = F.coalesce(F.forall(agree, lambda ok: F.coalesce(ok, F.lit(False))), F.lit(False))
+    return assigned.select("message", "n", fits.alias("fits"))
+
+
 def mine_events(spark, sf_dir):
-    mined = mine_templates(distinct_messages(event_messages(spark, sf_dir)))
-    return mined.select("cluster_id", "template", "size", "n_tokens", "route_key")
+    return _fit_of(mine_assignments(distinct_messages(event_messages(spark, sf_dir))))
 
 
 def mine_documents(spark, sf_dir):
-    lines = document_lines(spark, sf_dir)
-    assigned = mine_assignments(distinct_messages(lines, "line"))
-    return assigned.select("message", "n", F.col("template").isNotNull().alias("matched"))
+    return _fit_of(mine_assignments(distinct_messages(document_lines(spark, sf_dir), "line")))
+
+
+def mine_sizes(spark, sf_dir):
+    """Mined templates with their sizes; a template lists whole tokens, so its length is a message's."""
+    mined = mine_templates(distinct_messages(event_messages(spark, sf_dir)))
+    return mined.groupBy("n_tokens").agg(F.sum("size").alias("messages"))
 
 
 def mine_again(spark, sf_dir):
@@ -216,7 +230,7 @@ def mine_again(spark, sf_dir):
     artifacts.write_table(first, path)
     saved = artifacts.read_templates(spark, path)
     both = mine_templates(distinct_messages(events.filter("event_type = 'error'")), previous=saved)
-    return both.select("cluster_id", "template", "size", "n_tokens", "route_key")
+    return _fit_of(match_messages(distinct_messages(events), both))
 
 
 # -- vectors ------------------------------------------------------------------------------
@@ -548,7 +562,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         events_level_counts, events_parse, events_effective_message, doc_lines_clean, doc_entries, doc_entries_uncut,
         doc_entries_single, page_excludes, doc_correct,
         template_freq, template_sizes, template_assign, template_match, unmatched_messages,
-        mine_events, mine_documents, mine_again,
+        mine_events, mine_documents, mine_sizes, mine_again,
         embed_messages, embed_map_back, embed_tfidf, embed_user_model, l2_normalized,
         nearest_centers, label_inertia, cluster_thresholds, cluster_thresholds_large, common_threshold,
         anomalies_per_cluster, anomalies_common, scores_open_cluster,

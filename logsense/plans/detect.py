@@ -11,6 +11,7 @@ from logsense.operators.embedding import Embedder, embed_distinct, hashed_embedd
 from logsense.operators.joins import lookup_join
 from logsense.operators.scoring import find_anomalies
 from logsense.operators.templates import match_logs
+from logsense.session import materialize
 
 
 def detect(
@@ -31,5 +32,5 @@ def detect(
         "was_corrected"
     )
     scored = embed_distinct(rows, "corrected_template", embedder or hashed_embedder())
-    odd = find_anomalies(scored, model, common=common)
+    odd = materialize(find_anomalies(scored, model, common=common), "anomalies")
     return lookup_join(rows, odd, "corrected_template", "n", how="inner").drop("corrected_template")

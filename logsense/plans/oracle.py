@@ -218,14 +218,15 @@ alltexts AS (SELECT template AS message FROM templates UNION SELECT template FRO
 protos AS (
   SELECT row_number() OVER (ORDER BY size DESC, template) - 1 AS cluster, template
   FROM templates ORDER BY size DESC, template LIMIT 4),
-dots AS (
-  SELECT v.message, p.cluster, sum(v.value * q.value) AS dot
-  FROM vectors v JOIN vectors q USING (pos) JOIN protos p ON q.message = p.template GROUP BY ALL),
+dense AS (
+  SELECT message, list(coalesce(value, 0) ORDER BY pos) AS v
+  FROM (SELECT DISTINCT message FROM vectors) CROSS JOIN (SELECT unnest(range({DIMS}))::INTEGER AS pos)
+  LEFT JOIN vectors USING (message, pos) GROUP BY message),
 dists AS (
-  SELECT a.message, p.cluster, coalesce(sqrt(greatest(2 - 2 * dot, 0)), sqrt(2)) AS d
-  FROM alltexts a CROSS JOIN protos p LEFT JOIN dots ON dots.message = a.message AND dots.cluster = p.cluster),
+  SELECT a.message, p.cluster, round(list_distance(a.v, q.v), 12) AS d
+  FROM dense a CROSS JOIN protos p JOIN dense q ON q.message = p.template),
 nearest AS (
-  SELECT message AS template, arg_min(cluster, (round(d, 9), cluster)) AS cluster, min(d) AS distance FROM dists GROUP BY message),
+  SELECT message AS template, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM dists GROUP BY message),
 limits AS (
   SELECT cluster, quantile_cont(distance, 0.9) AS threshold FROM nearest JOIN templates USING (template) GROUP BY cluster),
 found AS (
@@ -245,12 +246,6 @@ _THRESHOLDS = (
     f"WITH {VECS}, {CENTERS}, {LIMITS} SELECT cluster::BIGINT AS cluster, round(threshold, 6) AS threshold, n FROM limits"
 )
 _COMMON = "(SELECT quantile_cont(distance, 0.9) FROM near)"
-_MINED = (
-    "SELECT cluster_id, template, size, len(tokens)::INTEGER AS n_tokens, "
-    "array_to_string(list_transform(tokens[1:2], lambda x: CASE WHEN regexp_matches(x, '\\d') THEN '<*>' ELSE x END), ' ') "
-    "AS route_key FROM templates"
-)
-_SHARE = "(SELECT 0.05 * count(*) FROM events)"
 _ENTRIES = "SELECT doc_id, start_line_no, raw, n_lines FROM entries"
 
 ORACLE: dict[str, str] = {
@@ -275,9 +270,11 @@ SELECT doc_id, line_no, corrected_template, line <> corrected_template AS was_co
     "SELECT event_id, component, level AS log_level, template FROM parsed JOIN assigned USING (message)",
     "template_match": f"WITH {MATCHED} SELECT event_id, template, is_new FROM matched",
     "unmatched_messages": f"WITH {MATCHED} SELECT log_file, message AS new_log_message FROM matched WHERE is_new",
-    "mine_events": f"WITH {MESSAGES}, {_templates('source', _SHARE)} {_MINED}",
-    "mine_documents": f"WITH {LINES} SELECT line AS message, count(*) AS n, true AS matched FROM lines WHERE line <> '' GROUP BY line",
-    "mine_again": f"WITH {MESSAGES}, {_templates('source', _SHARE)} {_MINED}",
+    "mine_events": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits FROM source GROUP BY message",
+    "mine_documents": f"WITH {LINES} SELECT line AS message, count(*) AS n, true AS fits FROM lines WHERE line <> '' GROUP BY line",
+    "mine_sizes": f"WITH {MESSAGES} SELECT len(regexp_split_to_array(trim(message), '\\s+'))::INTEGER AS n_tokens, "
+    "count(*)::BIGINT AS messages FROM source GROUP BY ALL",
+    "mine_again": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits FROM source GROUP BY message",
     "embed_messages": f"WITH {MESSAGES}, {_vectors('source', 'message')} SELECT message, pos, round(value, 6) AS value FROM vectors",
     "embed_map_back": f"WITH {MESSAGES}, {_vectors('source', 'message')} "
     "SELECT event_id, round(sum(value), 6) AS total FROM source JOIN vectors USING (message) GROUP BY event_id",
