@@ -21,9 +21,9 @@ def route_key(tokens: Column, routed: int) -> Column:
     return F.regexp_replace(F.array_join(F.slice(tokens, 1, routed), " "), r"(?U)[^ ]*\d[^ ]*", WILDCARD)
 
 
-def wide_hash(*cols: Column) -> Column:
-    """A 128-bit key of a value, short to shuffle and safe from chance collisions at any scale."""
-    return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b"))
+def wide_hash(name: str, *cols: Column) -> list[Column]:
+    """A 128-bit key as two columns: short to shuffle, safe from chance collisions at any scale."""
+    return [F.xxhash64(*cols).alias(f"{name}_a"), F.xxhash64(F.lit(1), *cols).alias(f"{name}_b")]
 
 
 def template_id(template: Column) -> Column:

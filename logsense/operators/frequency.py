@@ -33,19 +33,20 @@ def assign_frequency_templates(
     routed = materialize(messages, "messages").withColumn("_tokens", tokens_of(F.col("message"))).select(
         "message",
         "n",
-        wide_hash(F.col("message")).alias("_id"),
-        wide_hash(F.size("_tokens"), route_key(F.col("_tokens"), config.routed_tokens)).alias("_route"),
+        *wide_hash("id", F.col("message")),
+        *wide_hash("route", F.size("_tokens"), route_key(F.col("_tokens"), config.routed_tokens)),
         "_tokens",
     )
-    slots = routed.select("_id", "_route", "n", F.posexplode_outer("_tokens").alias("_pos", "_token"))
-    slot = ["_route", "_pos", "_token"]
+    ids = ["id_a", "id_b"]
+    slots = routed.select(*ids, "route_a", "route_b", "n", F.posexplode_outer("_tokens").alias("_pos", "_token"))
+    slot = ["route_a", "route_b", "_pos", "_token"]
     kept = slots.groupBy(*slot).agg(F.sum("n").alias("_support")).filter(F.col("_support") >= support)
     word = F.when(F.col("_support").isNull(), WILDCARD).otherwise(F.col("_token"))
     rebuilt = (
         slots.drop("n")
         .join(kept, slot, "left")
-        .groupBy("_id")
+        .groupBy(*ids)
         .agg(F.array_sort(F.collect_list(F.struct("_pos", word.alias("w")))).alias("_words"))
-        .select("_id", F.array_join(F.transform("_words", lambda w: w["w"]), " ").alias("template"))
+        .select(*ids, F.array_join(F.transform("_words", lambda w: w["w"]), " ").alias("template"))
     )
-    return routed.select("_id", "message", "n").join(rebuilt, "_id").drop("_id")
+    return routed.select(*ids, "message", "n").join(rebuilt, ids).drop(*ids)

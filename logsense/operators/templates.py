@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
 from logsense.functions.correction import WILDCARD, with_correction
-from logsense.functions.tokens import route_key, template_id, tokens_of
+from logsense.functions.tokens import route_key, template_id, tokens_of, wide_hash
 from logsense.operators.frequency import distinct_messages
 from logsense.operators.joins import lookup_join
 from logsense.session import materialize
@@ -46,33 +46,34 @@ def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
     its length and first token, and the masked text is looked up by equality. The match with the
     most constants wins, then the smallest id.
     """
-    mask = F.transform("tokens", lambda t: t == WILDCARD)
     known = templates.select(
-        F.col("template").alias("_masked"), "cluster_id", F.size("tokens").alias("_len"),
-        F.col("tokens")[0].alias("_lead"), mask.alias("_mask"),
+        *wide_hash("key", F.col("template")),
+        "template",
+        "cluster_id",
+        F.size("tokens").alias("_len"),
+        F.col("tokens")[0].alias("_lead"),
+        F.transform("tokens", lambda t: t == WILDCARD).alias("_mask"),
         F.size(F.filter("tokens", lambda t: t != WILDCARD)).alias("_constants"),
     )
     layouts = known.select("_len", "_lead", "_mask").distinct()
-    tokens = tokens_of(F.col("message"))
+    ids, keys = ["id_a", "id_b"], ["key_a", "key_b"]
+    named = messages.select("message", "n", *wide_hash("id", F.col("message")))
     leads = F.array_distinct(F.array(F.col("_tokens")[0], F.lit(WILDCARD)))
     tries = (
-        messages.withColumn("_tokens", tokens)
-        .select("message", "n", "_tokens", F.size("_tokens").alias("_len"), F.explode_outer(leads).alias("_lead"))
+        named.withColumn("_tokens", tokens_of(F.col("message")))
+        .select(*ids, "_tokens", F.size("_tokens").alias("_len"), F.explode_outer(leads).alias("_lead"))
         .join(layouts, ["_len", "_lead"])
-        .select("message", "n", _masked("_tokens", "_mask").alias("_masked"))
+        .select(*ids, *wide_hash("key", _masked("_tokens", "_mask")))
     )
-    found = tries.join(known.select("_masked", "cluster_id", "_constants"), "_masked").select(
-        "message",
-        "n",
-        F.struct(
-            "_constants", (-F.col("cluster_id")).alias("_order"), "cluster_id", F.col("_masked").alias("template")
-        ).alias("_hit"),
+    hit = F.struct("_constants", (-F.col("cluster_id")).alias("_order"), "cluster_id", "template")
+    found = tries.join(known.select(*keys, "_constants", "cluster_id", "template"), keys).select(
+        F.lit(None).cast("string").alias("message"), F.lit(None).cast("bigint").alias("n"), *ids, hit.alias("_hit")
     )
-    nothing = messages.select("message", "n", F.lit(None).cast(found.schema["_hit"].dataType).alias("_hit"))
+    nothing = named.withColumn("_hit", F.lit(None).cast(found.schema["_hit"].dataType))
     return (
         nothing.unionByName(found)
-        .groupBy("message")
-        .agg(F.first("n").alias("n"), F.max("_hit").alias("_hit"))
+        .groupBy(*ids)
+        .agg(F.max("message").alias("message"), F.max("n").alias("n"), F.max("_hit").alias("_hit"))
         .select("message", "n", "_hit.template", "_hit.cluster_id")
     )
 
