@@ -27,7 +27,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     if fmt == "csv":
         nested = {f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")}
         df = df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns])
-        writer_options = {k: v for k, v in _CSV.items() if k != "multiLine"}
+        writer_options = {k: v for k, v in _CSV.items() if k not in ("multiLine", "emptyValue")}
     df.write.options(**writer_options).mode(mode).format(fmt).save(path)
 
 
