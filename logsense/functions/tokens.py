@@ -26,6 +26,11 @@ def wide_hash(name: str, *cols: Column) -> list[Column]:
     return [F.xxhash64(*cols).alias(f"{name}_a"), F.xxhash64(F.lit(1), *cols).alias(f"{name}_b")]
 
 
+def text_key(text: Column) -> Column:
+    """A 128-bit key in one sortable column."""
+    return F.unhex(F.md5(text))
+
+
 def template_id(template: Column) -> Column:
     """A stable id: the first 60 bits of the MD5 of the template."""
     return F.conv(F.substring(F.md5(template), 1, 15), 16, 10).cast("bigint")

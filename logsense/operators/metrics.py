@@ -81,11 +81,18 @@ def calinski_harabasz_of(stats: list[dict]) -> float | None:
     return 1.0 if within == 0 else _finite(between * (n - k) / (within * (k - 1)))
 
 
-def silhouette(df: DataFrame, label_col: str, vector_col: str = "embedding", mode: str = "exact") -> float | None:
+def silhouette(
+    df: DataFrame,
+    label_col: str,
+    vector_col: str = "embedding",
+    mode: str = "exact",
+    values: int | None = None,
+) -> float | None:
     """Mean silhouette with Euclidean distances.
 
     Every point is compared with all others, so this is for a bounded sample: the sample travels
     to the tasks once, and each Arrow batch of points yields one number per point, never a pair.
+    ``values`` is the number of vector entries, if the caller knows it; it is checked first.
     ``mode='fast'`` is Spark's evaluator on squared distances for data of any size.
     """
     v = as_doubles(F.col(vector_col))
@@ -94,9 +101,10 @@ def silhouette(df: DataFrame, label_col: str, vector_col: str = "embedding", mod
         if not _enough_labels(data.select("prediction").distinct().count(), data.count()):
             return None
         return _finite(float(ClusteringEvaluator().evaluate(data)))
-    size = df.agg(F.count("*"), F.max(F.size(vector_col))).first()
-    if size[0] * (size[1] or 0) * 8 > MAX_SAMPLE_BYTES:
-        raise ValueError(f"{size[0]} vectors are too many for the exact silhouette; sample first or use mode='fast'")
+    if values is None:
+        values = df.agg(F.sum(F.size(vector_col))).first()[0] or 0
+    if values * 8 > MAX_SAMPLE_BYTES:
+        raise ValueError("too many vectors for the exact silhouette; sample first or use mode='fast'")
     points = df.select(F.col(label_col).alias("label"), v.alias("v"))
     table = points.toArrow()
     labels, index = np.unique(np.asarray(table["label"]), return_inverse=True)
@@ -135,7 +143,8 @@ def silhouette(df: DataFrame, label_col: str, vector_col: str = "embedding", mod
 def label_metrics(df: DataFrame, label_col: str, vector_col: str = "embedding") -> tuple:
     """(silhouette, Davies-Bouldin, Calinski-Harabasz); null where a metric is not defined."""
     stats = label_statistics(df, label_col, vector_col)
-    return silhouette(df, label_col, vector_col), davies_bouldin_of(stats), calinski_harabasz_of(stats)
+    values = sum(s["n"] * len(s["center"]) for s in stats)
+    return silhouette(df, label_col, vector_col, values=values), davies_bouldin_of(stats), calinski_harabasz_of(stats)
 
 
 def elbow(evaluations: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
 from logsense.functions.correction import WILDCARD, with_correction
-from logsense.functions.tokens import route_key, template_id, tokens_of, wide_hash
+from logsense.functions.tokens import route_key, template_id, text_key, tokens_of, wide_hash
 from logsense.operators.frequency import distinct_messages
 from logsense.operators.joins import lookup_join
 from logsense.session import materialize
@@ -44,29 +44,32 @@ def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
     A template matches a message of equal length whose tokens equal all its constants. Rather
     than try every template of a length, a message is masked once per distinct wildcard layout of
     its length and first token, and the masked text is looked up by equality. The match with the
-    most constants wins, then the smallest id.
+    most constants wins, then the smallest id. Templates that hold many messages are looked up
+    in a broadcast, so the messages of one template never crowd into one task.
     """
     known = templates.select(
-        *wide_hash("key", F.col("template")),
+        text_key(F.col("template")).alias("_key"),
         "template",
         "cluster_id",
+        "size",
         F.size("tokens").alias("_len"),
         F.col("tokens")[0].alias("_lead"),
         F.transform("tokens", lambda t: t == WILDCARD).alias("_mask"),
         F.size(F.filter("tokens", lambda t: t != WILDCARD)).alias("_constants"),
     )
     layouts = known.select("_len", "_lead", "_mask").distinct()
-    ids, keys = ["id_a", "id_b"], ["key_a", "key_b"]
+    ids = ["id_a", "id_b"]
     named = messages.select("message", "n", *wide_hash("id", F.col("message")))
     leads = F.array_distinct(F.array(F.col("_tokens")[0], F.lit(WILDCARD)))
     tries = (
         named.withColumn("_tokens", tokens_of(F.col("message")))
         .select(*ids, "_tokens", F.size("_tokens").alias("_len"), F.explode_outer(leads).alias("_lead"))
         .join(layouts, ["_len", "_lead"])
-        .select(*ids, *wide_hash("key", _masked("_tokens", "_mask")))
+        .select(*ids, text_key(_masked("_tokens", "_mask")).alias("_key"))
     )
+    known = known.select("_key", "size", "_constants", "cluster_id", "template")
     hit = F.struct("_constants", (-F.col("cluster_id")).alias("_order"), "cluster_id", "template")
-    found = tries.join(known.select(*keys, "_constants", "cluster_id", "template"), keys).select(
+    found = lookup_join(tries, known, "_key", "size", how="inner").select(
         F.lit(None).cast("string").alias("message"), F.lit(None).cast("bigint").alias("n"), *ids, hit.alias("_hit")
     )
     nothing = named.withColumn("_hit", F.lit(None).cast(found.schema["_hit"].dataType))

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ from logsense.operators.templates import (
     assign_templates, match_logs, match_messages, new_messages, template_table,
 )
 from logsense.operators.thresholds import learn_thresholds
-from logsense.plans.detect import detect
+from logsense.plans.detect import detect, template_rows
 from logsense.plans.parse import parse_log_files
 from logsense.plans.train import embed_templates, train
 from logsense.session import materialize, scratch_path
@@ -350,8 +351,16 @@ def scores_open_cluster(spark, sf_dir):
     )
 
 
+METRIC_SAMPLE = ClusterConfig().sample_size
+
+
+def metric_sample(vectors: DataFrame) -> DataFrame:
+    """The bounded sample all-pairs metrics run on; it is the whole table up to that size."""
+    return sample_rows(vectors, "vec_id", METRIC_SAMPLE)
+
+
 def cluster_quality(spark, sf_dir):
-    s, db, ch = label_metrics(embeddings(spark, sf_dir), "label")
+    s, db, ch = label_metrics(metric_sample(embeddings(spark, sf_dir)), "label")
     row = spark.createDataFrame([(s, db, ch)], "silhouette double, davies_bouldin double, calinski_harabasz double")
     return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
 
@@ -364,12 +373,15 @@ def silhouette_fast(spark, sf_dir):
 def label_sweep(spark, sf_dir) -> DataFrame:
     """Evaluations of the labelings ``label % k``: the sweep's metrics without its random fits."""
     vectors = embeddings(spark, sf_dir)
-    vectors.persist()
-    rows = []
-    for k in range(2, 11, 2):
-        labelled = vectors.withColumn("label", F.col("label") % k)
-        rows.append((k, inertia(vectors, label_centers(labelled, "label")), *label_metrics(labelled, "label"), 0.0, 0))
-    vectors.unpersist()
+    sample = materialize(metric_sample(vectors), "sample")
+
+    def one(k: int) -> tuple:
+        value = F.col("label") % k
+        model = label_centers(vectors.withColumn("label", value), "label")
+        return (k, inertia(vectors, model), *label_metrics(sample.withColumn("label", value), "label"), 0.0, 0)
+
+    with ThreadPool(4) as pool:
+        rows = pool.map(one, range(2, 11, 2), chunksize=1)
     return spark.createDataFrame(rows, EVALUATION_SCHEMA)
 
 
@@ -456,6 +468,13 @@ def detect_events(spark, sf_dir):
     )
 
 
+def detection_rows(spark, sf_dir):
+    """Every row with the vector of its template, as the sum of its entries."""
+    rows = template_rows(parsed_events(spark, sf_dir), quiet_templates(spark, sf_dir), hashed_embedder(DIMS))
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(F.col("start_line_no").alias("event_id"), "is_new", F.round(total, 6).alias("total"))
+
+
 def train_and_detect(spark, sf_dir):
     """Every stage with its own learned parts: mine, embed, choose k, fit, learn limits, detect."""
     parsed = parsed_events(spark, sf_dir)
@@ -502,6 +521,13 @@ def templates_json_roundtrip(spark, sf_dir):
     return back.select("cluster_id", "template", "corrected_template", "was_corrected", "size")
 
 
+def embeddings_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "embeddings")
+    templates = template_table(frequency_assignment(spark, sf_dir))
+    artifacts.write_table(embed_templates(templates, hashed_embedder(DIMS)), path)
+    return _entries_of(artifacts.read_embeddings(spark, path), "template")
+
+
 def model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "model")
     artifacts.write_model(spark, label_model(spark, sf_dir), path)
@@ -568,8 +594,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomalies_per_cluster, anomalies_common, scores_open_cluster,
         cluster_quality, silhouette_fast, k_eval, k_suggestion, k_elbow, k_metric_series, vector_sample,
         kmeans_fit, minibatch_fit, k_sweep, kmeans_auto_k, pca_projection, pca_projection_sample,
-        detect_events, train_and_detect,
-        text_file_lines, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, model_roundtrip,
+        detect_events, detection_rows, train_and_detect,
+        text_file_lines, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, embeddings_roundtrip, model_roundtrip,
         stream_parse, stream_score, stream_detect, stream_entries, stream_level_windows,
     )
 }

@@ -7,13 +7,24 @@ from pyspark.sql import DataFrame
 from logsense.config import MinerConfig
 from logsense.functions.correction import with_correction
 from logsense.operators.clustering import ClusterModel
-from logsense.operators.embedding import Embedder, embed_distinct, hashed_embedder
+from logsense.operators.embedding import Embedder, embed_distinct, embed_rows, hashed_embedder
 from logsense.operators.joins import lookup_join
 from logsense.operators.scoring import find_anomalies
 from logsense.operators.templates import match_logs
 from logsense.session import materialize
 
 
+def template_rows(
+    parsed: DataFrame, templates: DataFrame, embedder: Embedder | None = None, miner: MinerConfig = MinerConfig()
+) -> DataFrame:
+    """All rows with ``template, is_new, embedding``: the full record of a detection run.
+
+    It carries a vector per row; ``detect`` does not need it.
+    """
+    rows = with_correction(match_logs(parsed, templates), miner.apply_correction, miner.user_strings)
+    return embed_rows(rows, "corrected_template", embedder or hashed_embedder()).drop("corrected_template", "was_corrected")
+
+
 def detect(
     parsed: DataFrame,
     templates: DataFrame,

@@ -311,12 +311,16 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "k_metric_series": f"WITH {SWEEP} SELECT sweep.k, {_SCORES}, k = (SELECT consensus_k FROM suggestion) AS is_chosen FROM sweep",
     "vector_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5(vec_id || ':42'), vec_id LIMIT 200",
     "detect_events": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
+    "detection_rows": f"WITH {MATCHED}, {_vectors('matched', 'template')} SELECT event_id, is_new, round(sum(value), 6) AS total "
+    "FROM matched JOIN vectors ON vectors.message = matched.template GROUP BY event_id, is_new",
     "text_file_lines": f"WITH {LINES} SELECT line, count(*) AS n FROM lines GROUP BY line",
     "text_file_parse": f"WITH {EVENTS} SELECT parsing_status, level, component, count(*) AS n, sum(pid)::BIGINT AS pids, "
     "sum(length(message))::BIGINT AS chars FROM parsed WHERE log_file <> 'svc4.log' GROUP BY ALL",
     "parsed_csv_roundtrip": f"WITH {EVENTS} SELECT event_id, {_PARSED} FROM parsed",
     "templates_json_roundtrip": f"WITH {MESSAGES}, {_templates('source', str(SUPPORT))} "
     "SELECT cluster_id, template, template AS corrected_template, false AS was_corrected, size FROM templates",
+    "embeddings_roundtrip": f"WITH {MESSAGES}, {_templates('source', str(SUPPORT))}, {_vectors('templates', 'template')} "
+    "SELECT message AS template, pos, round(value, 6) AS value FROM vectors",
     "model_roundtrip": _anomalies("threshold"),
     "stream_parse": f"WITH {EVENTS} SELECT event_id, {_PARSED} FROM parsed",
     "stream_score": _anomalies("threshold"),

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from logsense.config import ClusterConfig, ParserConfig
