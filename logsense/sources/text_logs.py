@@ -48,7 +48,8 @@ def read_raw_lines(
         tail = pattern.rsplit("/", 1)[-1]
         narrow = "*" if tail == "**" else tail
         files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", narrow).text(root)
-        inside = F.substring_index(_file_path(), f"{_plain(root)}/", -1)
+        top = f"{_plain(root)}/"
+        inside = F.substr(_file_path(), F.instr(_file_path(), top) + len(top))
         if pattern.replace("**/", "", 1) != tail or not pattern.startswith("**/"):
             files = files.filter(inside.rlike(f"^{glob_to_regex(pattern)}$"))
     else:

@@ -80,6 +80,9 @@ def test_files_are_found_numbered_and_cleaned(spark, tmp_path):
     nested = read_log_lines(spark, str(tmp_path), pattern="**/s*/b.*")
     assert {r.log_file for r in nested.collect()} == {b}
     assert read_log_lines(spark, b).count() == 2
+    write(tmp_path / "r" / "q" / "r" / "d.log", b"z\n")
+    assert read_log_lines(spark, str(tmp_path / "r"), pattern="**/q/**/d.log").count() == 1
+    assert read_log_lines(spark, str(tmp_path / "r"), pattern="**/none/d.log").count() == 0
 
 
 def test_numbers_run_on_across_splits(spark, tmp_path):
