@@ -278,6 +278,7 @@ SELECT doc_id, line_no, corrected_template, line <> corrected_template AS was_co
     "embed_messages": f"WITH {MESSAGES}, {_vectors('source', 'message')} SELECT message, pos, round(value, 6) AS value FROM vectors",
     "embed_map_back": f"WITH {MESSAGES}, {_vectors('source', 'message')} "
     "SELECT event_id, round(sum(value), 6) AS total FROM source JOIN vectors USING (message) GROUP BY event_id",
+    "embed_tfidf": f"WITH {MESSAGES} SELECT DISTINCT message, 1.0::DOUBLE AS norm FROM source",
     "embed_user_model": f"WITH {MESSAGES} SELECT DISTINCT message, length(message)::DOUBLE AS chars, "
     "(length(message) - length(replace(message, ' ', '')) + 1)::DOUBLE AS words FROM source",
     "l2_normalized": """

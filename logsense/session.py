@@ -45,14 +45,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; a table already stored here is returned.
 
     Survives the loss of any executor, cuts the lineage, and gives later joins the real size.
     """
+    if getattr(df, "_logsense_stored", False) and not partition_by:
+        return df
     spark = df.sparkSession
     path = scratch_path(spark, label)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._logsense_stored = True
+    return stored
