@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsense.llm.components import connected_components
@@ -133,8 +133,8 @@ def verified(pairs: DataFrame, sets: DataFrame, config: MinHash) -> DataFrame:
 
 
 def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
-    """(key, hub, hub_part): up to ``per_bucket`` members of each bucket, those with the largest ``meets`` first."""
-    rank = F.struct(F.col("meets"), (-F.col("id")).alias("order"), F.col("part"))
+    """(key, hub, hub_part, hub_n, hub_most): up to ``per_bucket`` members of each bucket, those with the largest ``meets`` first."""
+    rank = F.struct(F.col("meets"), (-F.col("id")).alias("order"), F.col("part"), F.col("n"), F.col("most"))
     if per_bucket == 1:
         best = members.groupBy("key").agg(F.array(F.max(rank)).alias("best"))
     else:
@@ -142,48 +142,100 @@ def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
         cut = F.pmod(F.xxhash64("id"), F.lit(per_bucket)).alias("cut")
         best = members.groupBy("key", cut).agg(F.max(rank).alias("top")).groupBy("key").agg(F.collect_list("top").alias("best"))
     hub = best.select("key", F.explode("best").alias("hub"))
-    return hub.select("key", (-F.col("hub.order")).alias("hub"), F.col("hub.part").alias("hub_part"))
+    return hub.select(
+        "key", (-F.col("hub.order")).alias("hub"), F.col("hub.part").alias("hub_part"), F.col("hub.n").alias("hub_n"), F.col("hub.most").alias("hub_most")
+    )
+
+
+def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n, most): where sets meet by their rarest shingles; every two similar sets do.
+
+    Two sets of n and m shingles are similar if they share ``percent * (n + m) / (100 + percent)``. With the
+    shingles of all sets in one order, the rarest first, a first common shingle at place p (from 0) leaves
+    room for n - p common ones. So a set of n meets others there only up to the size ``most``, and only
+    within the ratio ``percent``. Sets with a common passage or template, whose rare shingles differ, thus do
+    not meet. Keys are shingles by class of size; a set stands in the classes of its smaller partners and in its own.
+    """
+    each = sets.select("id", "n", F.explode("shingles").alias("shingle"))
+    common = each.groupBy("shingle").agg(F.count("*").alias("df"))
+    ordered = each.join(common, "shingle").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("all")
+    )
+    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    first = ordered.select("id", "n", F.posexplode(F.slice("all", F.lit(1), length)).alias("place", "s")).where("s.df > 1")
+    most = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+    first = first.select("id", "n", "s.shingle", most.alias("most"))
+    least = F.ceil(F.col("n") * percent / 100)
+    size_class = lambda size: F.floor(F.log(size) / F.log(F.lit(1.04))).cast("int")
+    top = F.least(F.col("most"), F.col("n"))
+    classes = F.when(top >= least, F.sequence(size_class(least), size_class(top)))
+    own = F.when(F.col("most") >= F.col("n"), F.array(size_class(F.col("n"))))
+    none = F.array().cast("array<int>")
+    in_classes = F.explode(F.array_union(F.coalesce(classes, none), F.coalesce(own, none)))
+    placed = first.select("id", "n", "most", "shingle", in_classes.alias("class"))
+    return placed.select(F.xxhash64("shingle", "class").alias("key"), "id", "n", "most")
+
+
+def _may_meet() -> Column:
+    """Whether a member and a hub of a bucket can be similar, by their sizes and by ``most`` of either."""
+    return F.expr("n <= hub_most and hub_n <= most")
+
+
+def _open(members: DataFrame, components: DataFrame) -> DataFrame:
+    """(key, id, n, most, meets, part) of the buckets with members in different components.
+
+    ``meets`` prefers the smallest parts: as hubs, a few of them settle a bucket that is nearly one component.
+    """
+    placed = members.select("key", "id", "n", "most").join(components.withColumnRenamed("node", "id"), "id", "left").select(
+        "key", "id", "n", "most", F.coalesce("component", "id").alias("part")
+    )
+    several = placed.groupBy("key").agg(
+        F.min("part").alias("a"), F.max("part").alias("b"), F.min("n").alias("least_n"), F.max("most").alias("most_most")
+    ).where("a <> b").drop("a", "b")
+    still = placed.join(several, "key").where("most >= least_n and n <= most_most").drop("least_n", "most_most")
+    still = materialize(still, "open-buckets")
+    parts = still.groupBy("key", "part").agg((-F.count("*")).alias("meets"))
+    return materialize(still.join(parts, ["key", "part"]).select("key", "id", "n", "most", "meets", "part"), "buckets")
 
 
 def similar_links(reps: DataFrame, sets_of, config: MinHash) -> DataFrame:
-    """(node, component) over all links between the sets of ``reps`` (id, bands).
+    """(node, component) over all links between the sets of ``reps`` (id, n, bands).
 
-    A bucket of a band is settled by hubs: one member is tested against all others, and only members
-    that are still in different components afterwards go on, with eight times as many hubs in each
-    further round. A tested hub leaves its buckets, so at the end every pair of a bucket was tested or is in
-    one component. A bucket of n near copies costs about n tests and not n squared.
+    First one member of each bucket of a band, the one that meets most others, is tested against the rest,
+    which links most of a family of near copies to its centre. Sets whose buckets still hold
+    different components then meet by their rarest shingles, which loses no similar pair of them. There
+    again hubs are tested against the rest, up to 32 of a bucket and 32 times as many in each further round; a tested hub
+    leaves its buckets, so at the end every pair of a bucket was tested or is in one component.
     """
-    rows = materialize(reps.select("id", F.explode("bands").alias("key")), "bands")
+    rows = materialize(reps.select("id", "n", F.explode("bands").alias("key")), "bands")
     shared = rows.groupBy("key").agg(F.count("*").alias("in_bucket")).where("in_bucket > 1")
     members = rows.join(shared, "key")
     meets = members.groupBy("id").agg(F.sum("in_bucket").alias("meets"))
+    most = F.floor(F.col("n") * 100 / config.percent).alias("most")
     members = materialize(
-        members.select("key", "id").join(meets, "id").select("key", "id", "meets", F.col("id").alias("part")), "buckets"
+        members.select("key", "id", "n").join(meets, "id").select("key", "id", "n", most, "meets", F.col("id").alias("part")), "buckets"
     )
     sets = materialize(sets_of(members.select("id").distinct()), "sets")
-    links, per_bucket = None, 1
-    while True:
+
+    def tested(members: DataFrame, hubs: DataFrame) -> DataFrame:
+        pairs = members.join(hubs, "key").where(F.expr("id <> hub and part <> hub_part") & _may_meet())
+        pairs = materialize(pairs.select(F.least("id", "hub").alias("u"), F.greatest("id", "hub").alias("v")).distinct(), "pairs")
+        return verified(pairs, sets, config)
+
+    links = materialize(tested(members, _hubs(members, 1)), "links")
+    components = materialize(connected_components(links), "components")
+    undecided = _open(members, components).select("id").distinct()
+    members = _open(materialize(_rare_first(sets.join(undecided, "id", "left_semi"), config.percent), "rare"), components)
+    per_bucket = 32
+    while not members.isEmpty():
         hubs = materialize(_hubs(members, per_bucket), "hubs")
-        pairs = (
-            members.join(hubs, "key").where("id <> hub and part <> hub_part")
-            .select(F.least("id", "hub").alias("u"), F.greatest("id", "hub").alias("v")).distinct()
-        )
-        pairs = materialize(pairs, "pairs")
-        found = verified(pairs, sets, config)
-        links = materialize(found if links is None else links.unionByName(found), "links")
+        found = tested(members, hubs)
+        links = materialize(links.unionByName(found), "links")
         components = materialize(connected_components(links), "components")
         untested = members.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-        placed = untested.drop("part").join(components.withColumnRenamed("node", "id"), "id", "left").select(
-            "key", "id", "meets", F.coalesce("component", "id").alias("part")
-        )
-        open_keys = placed.groupBy("key").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("key")
-        still = materialize(placed.join(open_keys, "key", "left_semi"), "open-buckets")
-        # next, the hubs of the smallest parts: few of them settle a bucket that is nearly one component
-        parts = still.groupBy("key", "part").agg((-F.count("*")).alias("meets"))
-        members = materialize(still.drop("meets").join(parts, ["key", "part"]).select("key", "id", "meets", "part"), "buckets")
-        if members.isEmpty():
-            return components
-        per_bucket *= 8
+        members = _open(untested, components)
+        per_bucket *= 32
+    return components
 
 
 def near_duplicates(
@@ -205,13 +257,13 @@ def near_duplicates(
         rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("id")), "set-names"
     )
     named = reps.where("id is not null")
-    bands = rows.select(F.col("doc_id").alias("id"), "set_key", "bands").join(named, ["id", "set_key"], "left_semi")
+    bands = rows.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "set_key", "bands").join(named, ["id", "set_key"], "left_semi")
 
     def sets_of(ids: DataFrame) -> DataFrame:
         wanted = ids.select(F.col("id").alias("doc_id")).hint("shuffle_hash")
         return full_sets(slim.join(wanted, "doc_id", "left_semi"), config)
 
-    components = similar_links(bands.select("id", "bands"), sets_of, config)
+    components = similar_links(bands.select("id", "n", "bands"), sets_of, config)
     # rows of one id with different sets: the id stands for all of them
     ids = rows.where("set_key is not null and doc_id is not null").join(reps, "set_key").where("id <> doc_id")
     return _placed(rows, reps, components, ids, config)
