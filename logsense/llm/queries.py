@@ -2,17 +2,42 @@
 
 from __future__ import annotations
 
+from logsense.llm.contamination import contaminated
+from logsense.llm.licenses import scan
 from logsense.llm.minhash import MinHash, near_duplicates
+from logsense.llm.packing import pack
+from logsense.llm.quality import judge
+from logsense.llm.shards import byte_shards
 from logsense.llm.suffix import removal_digests
 from logsense.llm.texts import read_table
 from logsense.llm.tokens import read_token_files, write_token_files
 from logsense.session import scratch_path
 
 
+def op1_quality_rules(spark, sf_dir):
+    return judge(read_table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
+def op2_best_fit_packing(spark, sf_dir):
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark, sf_dir):
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_suffix_dedup(spark, sf_dir):
     return removal_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark, sf_dir):
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
+def op8_byte_shards(spark, sf_dir):
+    return byte_shards(read_table(spark, sf_dir, "documents"), 40)
+
+
 def op9_minhash_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"), config=MinHash(shingle=3, percent=85))
 
@@ -28,7 +53,9 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {
-    "op4_suffix_dedup": op4_suffix_dedup,
-    "op9_minhash_dedup": op9_minhash_dedup,
-    "op10_token_files": op10_token_files,
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_best_fit_packing, op3_decontamination, op4_suffix_dedup, op6_license_scan, op8_byte_shards,
+        op9_minhash_dedup, op10_token_files,
+    )
 }
