@@ -12,10 +12,15 @@ File format (a valid zstandard stream, in the public seekable layout):
 
 from __future__ import annotations
 
+import json
+import re
 import struct
+import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +35,33 @@ from logsense.session import materialize
 
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 #: Encoded words that a worker keeps between documents, and the longest word kept.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
+CACHE_WORDS, CACHE_BYTES = 600_000, 64
 #: Bytes of text per file, for choosing the number of files.
 FILE_BYTES = 64 << 20
 MANIFEST = "file string, n_docs long, n_ids long, first_id long"
 
 
+# The parts of a word-end BPE tokenizer whose tokens never span white space.
+_WORDWISE_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_WORDWISE_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+#: Letters, single digits and runs of marks: pieces of which the tokenizer's pattern makes one token each.
+_PARTS = re.compile(rb"[a-z\x80-\xff]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte that is not printable in Latin-1."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class Encoder(dict):
-    """Ids of the blank-separated words of a text, as uint32 bytes; texts are never cut or joined.
+    """Ids of whole texts as uint32 bytes, remembered by word where that is the same.
 
-    Valid for tokenizers whose tokens never span white space, as with ``word_bpe_49k``: its pattern
-    matches no white space and its normaliser works on single characters. A-Z are folded first, as that
-    normaliser does too, except where a special token could be written in capitals.
+    Tokens of ``word_bpe_49k`` never span white space: its pattern matches none and its normaliser works on single
+    characters. So words are encoded once each, their runs of plain letters, digits and marks by the bare
+    merge model. A-Z are folded first, as the normaliser does too, except where a special token could be
+    written in capitals. With any other tokenizer every text is encoded as it stands.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,13 +69,41 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        parts = json.loads(self.tokenizer.to_str())
+        steps = ((parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}])[:2]
+        self.wordwise = (
+            [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers", [])] == _WORDWISE_NORMALIZERS
+            and [x.get("type") for x in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"].get("Regex") == _WORDWISE_SPLIT
+            and not steps[1]["add_prefix_space"]
+        )
+        self.letters = _byte_letters()
 
-    def _ids(self, text: bytes) -> bytes:
+    def _full(self, text: bytes) -> bytes:
         found = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(found, dtype="<u4").tobytes()
+        return array("I", found).tobytes()
+
+    def _part(self, part: bytes) -> bytes | None:
+        """A run of letters, a digit or a run of marks; None if it needs the normaliser."""
+        if part.isascii():
+            text = part.decode()
+        else:
+            text = part.decode("utf-8", "replace").lower()
+            if not text.isalpha() or max(text) >= "\u0250" or not unicodedata.is_normalized("NFC", text):
+                return None
+            text = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(text)]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        parts = _PARTS.findall(word)
+        if b"<|" not in word and sum(map(len, parts)) == len(word):
+            found = [self.get(part) or self._part(part) for part in parts]
+            if None not in found:
+                return b"".join(found)
+        return self._full(word)
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self._ids(word)
+        ids = self._word(word)
         if len(self) >= CACHE_WORDS:
             self.clear()
         if len(word) <= CACHE_BYTES:
@@ -65,9 +113,17 @@ class Encoder(dict):
     def encode(self, text: bytes | None) -> bytes:
         if not text:
             return b""
+        if not self.wordwise:
+            return self._full(text)
         return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One per worker process, which encodes many files."""
+    return Encoder(path)
+
+
 def write_frames(out, documents: Iterable[tuple[int | None, bytes]], level: int = 3) -> tuple[int, int]:
     """Write (id, ids as bytes) in order as one file; number of documents and of token ids."""
     packer = zstandard.ZstdCompressor(level=level, write_content_size=True)
@@ -135,18 +191,18 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, first = None, None
+        first = None
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
         name = f"ids-{uuid.uuid4().hex}.zst"
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
-            nonlocal encoder, first
+            nonlocal first
             for ids, texts in batches_of(batches, "doc_id", "text"):
-                encoder = encoder or Encoder(tokenizer)
+                encode = encoder(tokenizer).encode
                 for doc_id, text in zip(ids, texts):
                     first = doc_id if first is None else first
-                    yield doc_id, encoder.encode(text) + end
+                    yield doc_id, encode(text) + end
 
         with store.open_output_stream(f"{root}/{name}", compression=None) as out:
             n_docs, n_ids = write_frames(out, documents())
