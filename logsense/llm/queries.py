@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from logsense.llm.brown import score_texts
 from logsense.llm.contamination import contaminated
+from logsense.llm.language import fit, predict
 from logsense.llm.licenses import scan
 from logsense.llm.minhash import MinHash, near_duplicates
 from logsense.llm.packing import pack
 from logsense.llm.quality import judge
 from logsense.llm.shards import byte_shards
 from logsense.llm.suffix import removal_digests
-from logsense.llm.texts import read_table
+from logsense.llm.texts import id_crc32, read_table
 from logsense.llm.tokens import read_token_files, write_token_files
 from logsense.session import scratch_path
 
@@ -30,10 +32,20 @@ def op4_suffix_dedup(spark, sf_dir):
     return removal_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = id_crc32("doc_id") % 4 == 2
+    return predict(docs, fit(docs.where(~held_out)), extra={"held_out": held_out})
+
+
 def op6_license_scan(spark, sf_dir):
     return scan(read_table(spark, sf_dir, "documents"))
 
 
+def op7_brown_model(spark, sf_dir):
+    return score_texts(read_table(spark, sf_dir, "documents"), id_crc32("doc_id") % 5 == 1)
+
+
 def op8_byte_shards(spark, sf_dir):
     return byte_shards(read_table(spark, sf_dir, "documents"), 40)
 
@@ -55,7 +67,7 @@ def op10_token_files(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_best_fit_packing, op3_decontamination, op4_suffix_dedup, op6_license_scan, op8_byte_shards,
-        op9_minhash_dedup, op10_token_files,
+        op1_quality_rules, op2_best_fit_packing, op3_decontamination, op4_suffix_dedup, op5_language_id, op6_license_scan,
+        op7_brown_model, op8_byte_shards, op9_minhash_dedup, op10_token_files,
     )
 }
