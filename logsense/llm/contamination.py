@@ -30,7 +30,7 @@ def marked_tokens(text: Column, names: bool = True) -> Column:
     """
     text = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001\u0002]", " ")
     text = F.regexp_replace(text, r"(?<=[0-9])[.,](?=[0-9])", "")
-    text = F.regexp_replace(text, rf"(?i)(?<=[0-9])\s?({'|'.join(UNITS)})\b", f" {_UNIT}$1")
+    text = F.regexp_replace(text, rf"(?i)(?<=[0-9]) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
     if names:
         text = F.regexp_replace(text, r"(?<=[\p{L}0-9,;] )(?=\p{Lu}\p{Ll})", _NAME)
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}\x01\x02]+"), "")

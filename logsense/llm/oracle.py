@@ -1,5 +1,161 @@
-"""DuckDB SQL for the queries of the corpus operators, where SQL can express them."""
+"""DuckDB SQL for the queries of the corpus operators, where SQL can express them.
+
+Not here: best-fit packing (a greedy search), suffix removal (every 100-byte window of every text), language
+and Brown models (fitted), token files (a tokenizer). Tests hold these against plain loops.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from logsense.llm.contamination import COVERAGE, LITERALS, RUN, UNITS, WINDOW
+from logsense.llm.licenses import CONTAINMENT, NOTICES, SHINGLE, STEP
+
+_SPACE = r"'[\x20\x09-\x0D]+'"
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex({text}, {_SPACE}), lambda x: x <> '')"
+
+
+def _count(chars: str) -> str:
+    return f"(length(t) - length(regexp_replace(t, '[{chars}]', '', 'g')))"
+
+
+_OP1 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, {_words('t')} AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, {_SPACE}, '', 'g') <> '') AS lines FROM d),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM w, unnest(range(1, len(w) - 1)) AS u(i)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM r) GROUP BY doc_id),
+counts AS (
+  SELECT w.doc_id, t, lines, len(w)::BIGINT AS n_words, length(regexp_replace(t, {_SPACE}, '', 'g'))::BIGINT AS word_chars,
+         {_count('#*$%&|<>')}::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 4 * {_count('0-9')} > word_chars OR {_count('A-Z')} > {_count('a-z')} OR 10 * n_dup_lines > 6 * len(lines)) AS kept
+FROM failed
+"""
+
+
+def _marked(text: str, names: bool) -> str:
+    """As ``marked_tokens``; without lookaround a replacement runs twice, for matches that share a character."""
+    units = "|".join(UNITS)
+    t = f"regexp_replace(coalesce({text}, ''), '[\\x01\\x02]', ' ', 'g')"
+    for _ in range(2):
+        t = f"regexp_replace({t}, '([0-9])[.,]([0-9])', '\\1\\2', 'g')"
+    t = f"regexp_replace({t}, '(?i)([0-9]) ?({units})([^\\pL\\pN]|$)', '\\1 ' || chr(2) || '\\2\\3', 'g')"
+    if names:
+        for _ in range(2):
+            t = f"regexp_replace({t}, '([\\pL0-9,;] )(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(1) || '\\2', 'g')"
+    return f"list_filter(string_split_regex(lower({t}), '[^\\pL\\pN\\x01\\x02]+'), lambda x: x <> '')"
+
+
+_KIND = "CASE WHEN x[1] BETWEEN '0' AND '9' THEN '<num>' WHEN x[1] = chr(1) THEN '<name>' WHEN x[1] = chr(2) THEN '<unit>' END"
+_OP3 = f"""
+WITH items AS (
+  SELECT item_id, {_marked('text', True)} AS tok FROM benchmark
+  UNION ALL SELECT item_id, {_marked('text', False)} FROM benchmark),
+cut AS (SELECT item_id, pos, tok[pos + 1 : pos + {WINDOW}] AS w FROM items, unnest(range(len(tok) - {WINDOW - 1})) AS u(pos)),
+typed AS (SELECT *, list_transform(w, lambda x: {_KIND}) AS kinds FROM cut),
+item_windows AS (
+  SELECT DISTINCT item_id, pos AS item_at, w AS item_w, kinds,
+         list_transform(w, lambda x: coalesce({_KIND}, x)) AS win
+  FROM typed WHERE len(list_filter(kinds, lambda x: x IS NULL)) >= {LITERALS}),
+sizes AS (SELECT item_id, count(DISTINCT item_at) AS n_windows FROM item_windows GROUP BY item_id),
+doc_tok AS (SELECT doc_id, {_marked('text', True)} AS tok FROM documents),
+doc_windows AS (
+  SELECT doc_id, pos, tok[pos + 1 : pos + {WINDOW}] AS doc_w FROM doc_tok, unnest(range(len(tok) - {WINDOW - 1})) AS u(pos)),
+met AS (
+  SELECT doc_id, item_id, pos - item_at AS distance, item_at, item_w, doc_w, kinds
+  FROM (SELECT *, list_transform(doc_w, lambda x: coalesce({_KIND}, x)) AS win FROM doc_windows) JOIN item_windows USING (win)),
+slots AS (
+  SELECT doc_id, item_id, distance, item_w[k] AS item_slot, doc_w[k] AS doc_slot
+  FROM met, unnest(range(1, {WINDOW + 1})) AS u(k) WHERE kinds[k] IS NOT NULL),
+checked AS (
+  SELECT doc_id, item_id, distance, count(DISTINCT item_slot) = count(DISTINCT (item_slot, doc_slot)) AS same,
+         bool_or(item_slot <> doc_slot) AS changed
+  FROM slots GROUP BY ALL),
+lined_up AS (
+  SELECT met.doc_id, met.item_id, met.item_at, met.distance, coalesce(changed, false) AS changed
+  FROM met LEFT JOIN checked USING (doc_id, item_id, distance) WHERE coalesce(same, true)),
+runs AS (SELECT doc_id, item_id, distance, count(DISTINCT item_at) AS places FROM lined_up GROUP BY ALL),
+found AS (
+  SELECT doc_id, item_id, count(DISTINCT item_at) AS n_matched, bool_or(changed) AS slots_changed
+  FROM lined_up GROUP BY ALL)
+SELECT doc_id, item_id, n_matched, n_windows, slots_changed
+FROM found JOIN sizes USING (item_id) JOIN (SELECT doc_id, item_id, max(places) AS longest FROM runs GROUP BY ALL) USING (doc_id, item_id)
+WHERE n_matched >= {COVERAGE} * n_windows OR longest >= {RUN}
+"""
+
+_NOTICE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES.items())
+
+
+def _license_tokens(text: str) -> str:
+    return f"list_filter(string_split_regex(lower(coalesce({text}, '')), '[^a-z0-9]+'), lambda x: x <> '')"
+
+
+_OP6 = f"""
+WITH notices(license, text) AS (VALUES {_NOTICE_ROWS}),
+t AS (SELECT DISTINCT license, array_to_string(tok[i : i + {SHINGLE - 1}], ' ') AS s
+      FROM (SELECT license, {_license_tokens('text')} AS tok FROM notices), unnest(range(1, len(tok) - {SHINGLE - 2})) AS u(i)),
+sizes AS (SELECT license, count(*) AS n, ceil(count(*) / {STEP}) * {STEP} AS reach FROM t GROUP BY license),
+d AS (SELECT doc_id, i - 1 AS p, array_to_string(tok[i : i + {SHINGLE - 1}], ' ') AS s, len(tok) - {SHINGLE - 1} AS n_shingles
+      FROM (SELECT doc_id, {_license_tokens('text')} AS tok FROM documents), unnest(range(1, len(tok) - {SHINGLE - 2})) AS u(i)),
+hits AS (SELECT doc_id, license, p, s, n, reach, n_shingles FROM d JOIN t USING (s) JOIN sizes USING (license)),
+near AS (
+  SELECT doc_id, license, n, pos, count(DISTINCT s) AS shared
+  FROM hits, unnest(range(0, n_shingles, {STEP})) AS u(pos)
+  WHERE p >= pos - reach AND p < pos + {STEP} + reach GROUP BY ALL)
+SELECT doc_id, license, max(shared / n)::DOUBLE AS containment FROM near WHERE shared / n >= {CONTAINMENT} GROUP BY ALL
+"""
+
+_OP8 = """
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT b, 0, b::UBIGINT FROM range(256) AS t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sums AS (
+  SELECT doc_id, (length(h) // 2 + 16)::BIGINT AS size,
+         xor(list_reduce(
+               list_transform(range(length(h) // 2), lambda i:
+                 ((instr('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)::UBIGINT),
+               lambda a, x: xor(a >> 8, t[(xor(a, x) & 255)::BIGINT + 1]), 4294967295::UBIGINT),
+             4294967295::UBIGINT)::BIGINT AS text_crc32
+  FROM d, crc),
+summed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, size, text_crc32 ROWS UNBOUNDED PRECEDING) AS byte_end, sum(size) OVER () AS all_bytes,
+         row_number() OVER (ORDER BY doc_id, size, text_crc32) AS row_end
+  FROM sums),
+placed AS (SELECT *, ((2 * byte_end - size) * 40 // (2 * all_bytes))::INT AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, (row_end - min(row_end) OVER (PARTITION BY shard))::BIGINT AS slot,
+       NULL::INT AS grown_shard
+FROM placed
+"""
+
+_OP9 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_words("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s FROM w, unnest(range(1, greatest(len(w) - 1, 2))) AS u(i) WHERE len(w) > 0),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM s AS a JOIN s AS b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes AS x ON x.doc_id = a.doc_id JOIN sizes AS y ON y.doc_id = b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 85 * (any_value(x.n) + any_value(y.n) - count(*))),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+least AS (SELECT u AS doc_id, min(v) AS m FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": _OP1,
+    "op3_decontamination": _OP3,
+    "op6_license_scan": _OP6,
+    "op8_byte_shards": _OP8,
+    "op9_minhash_dedup": _OP9,
+}

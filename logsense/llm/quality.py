@@ -22,7 +22,8 @@ def count_chars(text: Column, chars: str) -> Column:
     return F.length(text) - F.length(F.translate(text, chars, ""))
 
 
-_TEXT = F.coalesce(F.col("text"), F.lit(""))
+def _text() -> Column:
+    return F.coalesce(F.col("text"), F.lit(""))
 
 
 @dataclass(frozen=True)
@@ -34,12 +35,12 @@ class Rule:
 
 
 def default_rules() -> list[Rule]:
-    upper, lower = (count_chars(_TEXT, "".join(map(chr, range(ord(a), ord(a) + 26)))) for a in "Aa")
-    lines = F.size(F.filter(F.split(_TEXT, "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0))
+    upper, lower = (count_chars(_text(), "".join(map(chr, range(ord(a), ord(a) + 26)))) for a in "Aa")
+    lines = F.size(F.filter(F.split(_text(), "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0))
     return [
         Rule("symbols", F.expr("10 * n_symbols > n_words")),
         Rule("word_length", F.expr("word_chars < 2 * n_words or word_chars > 15 * n_words")),
-        Rule("digits", 4 * count_chars(_TEXT, "0123456789") > F.col("word_chars")),
+        Rule("digits", 4 * count_chars(_text(), "0123456789") > F.col("word_chars")),
         Rule("shouting", upper > lower),
         Rule("dup_lines", 10 * F.col("n_dup_lines") > 6 * lines),
     ]
@@ -62,14 +63,14 @@ def text_counts(docs: DataFrame) -> DataFrame:
     places = F.transform(F.filter("s", same), lambda x: x["p"])
     with_places = with_order.select("doc_id", "text", "n_words", places.alias("p"))
     covered = F.size(F.array_distinct(F.concat(F.col("p"), F.transform("p", lambda x: x + 1), F.transform("p", lambda x: x + 2))))
-    lines = F.filter(F.split(_TEXT, "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
+    lines = F.filter(F.split(_text(), "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
     with_lines = with_places.select(
         "doc_id", "text", "n_words", F.when(F.col("p").isNull(), 0).otherwise(covered).cast("long").alias("n_repeat_words"),
         lines.alias("lines"),
     )
     counts = F.struct(
-        "n_words", F.length(F.translate(_TEXT, SPACE_CHARS, "")).cast("long").alias("word_chars"),
-        count_chars(_TEXT, SYMBOLS).cast("long").alias("n_symbols"),
+        "n_words", F.length(F.translate(_text(), SPACE_CHARS, "")).cast("long").alias("word_chars"),
+        count_chars(_text(), SYMBOLS).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), "n_repeat_words",
     )
     # through a generator, so that a filter on a count is not evaluated below it, with the split in its loops
