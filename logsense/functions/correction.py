@@ -18,10 +18,7 @@ DIGITS = r"\b\d+\b"
 BOOLEANS = r"\b(?:true|false)\b"
 WINDOWS_PATH = r"(?<![A-Za-z0-9._-])(?:[A-Za-z]:\\(?:[^\\\s]+\\)*[^\\\s]+\\?)(?![A-Za-z0-9._-])"
 UNIX_PATH = r"(?<![A-Za-z0-9._-])(?:~?/)(?:[A-Za-z0-9._-]+/)*[A-Za-z0-9._-]+/?(?![A-Za-z0-9._-])"
-MIXED_TOKEN = (
-    r"""(?:(?<=^)|(?<=[\s,;:(){}\[\]"']))[^,\s;:(){}\[\]"']*<\*>[^,\s;:(){}\[\]"']*"""
-    r"""(?=(?:$|[\s,;:(){}\[\]"']))"""
-)
+MIXED_TOKEN = r'''(?:(?<=^)|(?<=[\s,;:(){}\[\]"\'\']))[^ ,\s;:(){}\[\]"\'\']*<\*>[^,\s;:(){}\[\]"\'\']*(?=(?:$|[\s,;:(){}\[\]"\']))'''
 DOTTED_CHAIN = r"(?:<\*>\s*\.\s*)+<\*>"
 WILDCARD_RUN = r"(?:<\*>\s*)+<\*>"
 BLANK_RUN = r"[ \t]{2,}"

@@ -10,12 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _INF = float("inf")
+#: Differences of vectors and centers that are held at once.
+_BLOCK_CELLS = 1 << 22
 
 
-def to_matrix(vectors: pa.Array) -> np.ndarray:
-    """A list column without nulls as an (n, d) matrix."""
-    n = len(vectors)
-    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(n, -1) if n else np.empty((0, 0))
+def to_matrix(vectors: pa.Array, width: int | None = None) -> np.ndarray:
+    """A list column without nulls as an (n, d) matrix; all its vectors must have one length.
+
+    ``width`` is that length where it is known; without it an empty column has none.
+    """
+    lengths = np.asarray(vectors.value_lengths())
+    if width is None:
+        width = int(lengths[0]) if len(lengths) else 0
+    if (lengths != width).any():
+        raise ValueError(f"vectors of {width} values expected, got {sorted(set(lengths.tolist()))[:5]}")
+    return np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), width)
 
 
 def as_doubles(col: Column) -> Column:
@@ -34,21 +43,24 @@ def nearest_center(centers: np.ndarray, ids: np.ndarray, thresholds: np.ndarray
     """Column function: vector -> struct(cluster, distance, threshold); ties go to the first id.
 
     Distances are rounded to 12 decimals, so that those equal but for the order of summation tie.
+    A null vector gives nulls; one with a NaN has distance NaN.
     """
     limits = np.full(len(ids), _INF) if thresholds is None else thresholds
+    k, width = centers.shape
+    rows_at_once = max(1, _BLOCK_CELLS // max(1, k * width))
 
     @F.arrow_udf("cluster int, distance double, threshold double")
     def nearest(vectors: pa.Array) -> pa.Array:
         known = np.asarray(vectors.is_valid())
-        x = to_matrix(vectors.drop_null())
-        best = np.full(len(x), _INF)
-        which = np.zeros(len(x), dtype=np.int64)
-        for j, center in enumerate(centers):
-            diff = x - center
-            distance = np.round(np.sqrt(np.einsum("ij,ij->i", diff, diff)), 12)
-            closer = distance < best
-            best[closer] = distance[closer]
-            which[closer] = j
+        x = to_matrix(vectors.drop_null(), width)
+        best = np.empty(len(x))
+        which = np.empty(len(x), dtype=np.int64)
+        for lo in range(0, len(x), rows_at_once):
+            diff = x[lo : lo + rows_at_once, None, :] - centers[None, :, :]
+            distance = np.round(np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)), 12)
+            least = distance.argmin(axis=1)
+            which[lo : lo + rows_at_once] = least
+            best[lo : lo + rows_at_once] = distance[np.arange(len(least)), least]
         place = np.cumsum(known) - 1  # row -> index among the non-null vectors
         take = pa.array(place, mask=~known)
         parts = [pa.array(ids[which], pa.int32()), pa.array(best), pa.array(limits[which])]
@@ -64,7 +76,7 @@ def distance_to_own(centers: dict[int, np.ndarray]):
 
     @F.arrow_udf("double")
     def own(labels: pa.Array, vectors: pa.Array) -> pa.Array:
-        diff = to_matrix(vectors) - table[np.searchsorted(order, np.asarray(labels))]
+        diff = to_matrix(vectors, table.shape[1]) - table[np.searchsorted(order, np.asarray(labels))]
         return pa.array(np.sqrt(np.einsum("ij,ij->i", diff, diff)))
 
     return own

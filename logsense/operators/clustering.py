@@ -22,7 +22,6 @@ from logsense.operators.sampling import sample_rows
 from logsense.session import materialize
 
 MAX_CENTERS = 10_000
-MAX_BATCHES = 256
 
 
 @dataclass(frozen=True)
@@ -117,20 +116,21 @@ def _fit_minibatch(
 ) -> ClusterModel:
     """Each batch moves every center to the running mean of the vectors it has won.
 
-    Batches follow a hash of the id (or of the vector). Their number is bounded, so on large data a batch grows
-    beyond ``batch_size`` rather than the number of jobs; each batch is read once per epoch from
-    its own folder.
+    Batches follow a hash of the id (or of the vector) and hold about ``batch_size`` vectors at any size of
+    the table; a batch is one job per epoch, read from its own folder. Start centers come from the first
+    batches that together hold enough vectors.
     """
     key = F.col(id_col) if id_col else F.col(vector_col)
     features = vectors.select(as_doubles(F.col(vector_col)).alias("v"), F.xxhash64(F.lit(config.seed), key).alias("shard"))
     total = vectors.count()
-    batches = max(1, min(math.ceil(total / config.batch_size), MAX_BATCHES))
+    batches = max(1, math.ceil(total / config.batch_size))
     placed = features.withColumn("batch", F.pmod("shard", F.lit(batches)).cast("int"))
     if batches > 1:
         shards = max(1, math.ceil(total / batches / 100_000))
         placed = placed.repartition("batch", F.pmod(F.floor(F.col("shard") / batches), F.lit(shards)))
     stored = materialize(placed.select("v", "batch"), "batches", ("batch",))
-    start = KMeans(k=k, maxIter=0, seed=config.seed).fit(_features(stored.filter("batch = 0"), "v"))
+    enough = math.ceil(4 * k / config.batch_size)
+    start = KMeans(k=k, maxIter=0, seed=config.seed).fit(_features(stored.filter(F.col("batch") < enough), "v"))
     centers = np.stack(start.clusterCenters())
     won = np.zeros(len(centers))
     for _ in range(max(config.epochs, 1)):

@@ -29,8 +29,16 @@ def _enough_labels(labels: int, n: int) -> bool:
     return 2 <= labels <= n - 1
 
 
+def _labelled(df: DataFrame, label_col: str, vector_col: str) -> DataFrame:
+    return df.filter(F.col(label_col).isNotNull() & F.col(vector_col).isNotNull())
+
+
 def label_statistics(df: DataFrame, label_col: str, vector_col: str = "embedding") -> list[dict]:
-    """Per label: rows, center, and the sums of distances and squared distances to the center."""
+    """Per label: rows, center, and the sums of distances and squared distances to the center.
+
+    Rows without a label or a vector do not count.
+    """
+    df = _labelled(df, label_col, vector_col)
     v = as_doubles(F.col(vector_col))
     means = (
         df.groupBy(F.col(label_col).alias("label"))
@@ -61,7 +69,7 @@ def davies_bouldin_of(stats: list[dict]) -> float | None:
         return None
     spread = np.array([s["d"] / s["n"] for s in stats])
     centers = np.stack([s["center"] for s in stats])
-    apart = np.sqrt(((centers[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2))
+    apart = np.stack([np.sqrt(((centers - c) ** 2).sum(axis=1)) for c in centers])  # k x k, never k x k x d
     if np.allclose(spread, 0) or np.allclose(apart, 0):
         return 0.0
     apart[apart == 0] = np.inf
@@ -95,6 +103,7 @@ def silhouette(
     ``values`` is the number of vector entries, if the caller knows it; it is checked first.
     ``mode='fast'`` is Spark's evaluator on squared distances for data of any size.
     """
+    df = _labelled(df, label_col, vector_col)
     v = as_doubles(F.col(vector_col))
     if mode == "fast":
         data = df.select(F.col(label_col).cast("double").alias("prediction"), array_to_vector(v).alias("features"))

@@ -34,5 +34,6 @@ def score(vectors: DataFrame, model: ClusterModel, vector_col: str = "embedding"
 
 
 def find_anomalies(vectors: DataFrame, model: ClusterModel, vector_col: str = "embedding", common: bool = False) -> DataFrame:
-    """The rows strictly farther from their nearest center than the threshold allows."""
-    return score(vectors, model, vector_col, common).filter(F.col("distance") > F.col("threshold"))
+    """The rows strictly farther from their nearest center than the threshold allows; a NaN distance is not."""
+    scored = score(vectors, model, vector_col, common)
+    return scored.filter((F.col("distance") > F.col("threshold")) & ~F.isnan("distance"))

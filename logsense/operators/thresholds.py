@@ -43,7 +43,8 @@ def group_percentiles(df: DataFrame, group: str, value: str, percent: float, dir
     for r in groups:
         rank = percent / 100 * (r["n"] - 1)
         low, high = exact[(r["g"], math.floor(rank))], exact[(r["g"], math.ceil(rank))]
-        out.append((r["g"], low + (high - low) * (rank - math.floor(rank)), r["n"]))
+        part = rank - math.floor(rank)
+        out.append((r["g"], low if part == 0 or low == high else low + (high - low) * part, r["n"]))
     return sorted(out)
 
 
@@ -53,12 +54,14 @@ def _order_statistics(values: DataFrame, targets: dict, direct_rows: int) -> dic
     group_type = values.schema["g"].dataType.simpleString()
     schema = f"g {group_type}, wanted bigint, lo double, hi double, r bigint"
     running = Window.partitionBy("g", "wanted").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    stuck: set = set()  # ranges that slices cannot narrow, as with infinite values
     while True:
-        open_ = {t: s for t, s in targets.items() if s[0] < s[1] and s[3] > direct_rows}
+        open_ = {t: s for t, s in targets.items() if s[0] < s[1] and s[3] > direct_rows and t not in stuck}
         if not open_:
             break
         state = spark.createDataFrame([(g, w, s[0], s[1], s[2]) for (g, w), s in open_.items()], schema)
-        slot = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * _SLICES), F.lit(_SLICES - 1))
+        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        slot = F.least(F.floor(F.when(F.isnan(share), 1.0).otherwise(share) * _SLICES), F.lit(_SLICES - 1))
         rows = (
             values.join(F.broadcast(state), "g")
             .filter("v BETWEEN lo AND hi")
@@ -69,7 +72,10 @@ def _order_statistics(values: DataFrame, targets: dict, direct_rows: int) -> dic
             .collect()
         )
         for x in rows:
-            targets[(x["g"], x["wanted"])] = (x["lo"], x["hi"], x["r"] - x["below"], x["n"])
+            narrowed = (x["lo"], x["hi"], x["r"] - x["below"], x["n"])
+            if narrowed[:2] == targets[(x["g"], x["wanted"])][:2]:
+                stuck.add((x["g"], x["wanted"]))
+            targets[(x["g"], x["wanted"])] = narrowed
     found = {t: s[0] for t, s in targets.items() if s[0] == s[1]}
     rest = {t: s for t, s in targets.items() if t not in found}
     if rest:

@@ -1,36 +1,44 @@
-import re
-
 from pyspark.sql import functions as F
 
 from logsense.functions import correction as C
 
+TERMS = ("admin", "root", "null", "C++", "", "root")
+#: (template, corrected, corrected with the terms above).
 CASES = [
-    "took 12 ms", "id42 42id 4.2", "True or FALSE or untrue", r"open C:\Windows\sys.dll now", r"at D:\a\b\ end", "read /var/log/x.log ok",
-    "~/home/me/ done", "a/b/c not", "https://site.org/x/y", "admin ROOT nullable null C++ c++11", "user=<*> a,<*>x (<*>) {k: v<*>}",
-    "<*>.<*> . <*>", "<*> <*><*> x <*>", "a  b\t\tc ", "", "   ", "\u0661\u0662 \u00e912 12\u00e9", "port:8080;[99]", "v<*>w<*>z",
-    '{"k": 69}', "x" * 300 + " 5", "/", "//", "/a//b", "e.g. /usr/lib, /bin", "\u00a0 7 \u00a0",
+    ('took 12 ms', 'took <*> ms', 'took <*> ms'),
+    ('id42 42id 4.2', 'id42 42id <*>', 'id42 42id <*>'),
+    ('True or FALSE or untrue', '<*> or <*> or untrue', '<*> or <*> or untrue'),
+    ('open C:\\Windows\\sys.dll now', 'open <*> now', 'open <*> now'),
+    ('at D:\\a\\b\\ end', 'at <*> end', 'at <*> end'),
+    ('read /var/log/x.log ok', 'read <*> ok', 'read <*> ok'),
+    ('~/home/me/ done', '<*> done', '<*> done'),
+    ('a/b/c not', 'a/b/c not', 'a/b/c not'),
+    ('https://site.org/x/y', 'https:<*>', 'https:<*>'),
+    ('admin ROOT nullable null C++ c++11', 'admin ROOT nullable null C++ <*>', '<*> nullable <*>'),
+    ('user=<*> a,<*>x (<*>) {k: v<*>}', '<*> a,<*> (<*>) {k: <*>}', '<*> a,<*> (<*>) {k: <*>}'),
+    ('<*>.<*> . <*>', '<*>', '<*>'),
+    ('<*> <*><*> x <*>', '<*> x <*>', '<*> x <*>'),
+    ('a  b\t\tc ', 'a b c', 'a b c'),
+    ('', '', ''),
+    ('   ', '', ''),
+    ('\u0661\u0662 \xe912 12\xe9', '<*> \xe912 12\xe9', '<*> \xe912 12\xe9'),
+    ('port:8080;[99]', 'port:<*>;[<*>]', 'port:<*>;[<*>]'),
+    ('v<*>w<*>z', '<*>', '<*>'),
+    ('{"k": 69}', '{"k": <*>}', '{"k": <*>}'),
+    ("x" * 300 + " 5", "x" * 300 + " <*>", "x" * 300 + " <*>"),
+    ('/', '/', '/'),
+    ('//', '//', '//'),
+    ('/a//b', '<*>', '<*>'),
+    ('e.g. /usr/lib, /bin', 'e.g. <*>, <*>', 'e.g. <*>, <*>'),
+    ('\xa0 7 \xa0', '<*>', '<*>'),
 ]
 
 
-def expected(s, terms):
-    s = re.sub(C.DIGITS, "<*>", s)
-    s = re.sub(C.BOOLEANS, "<*>", s, flags=re.I)
-    s = re.sub(C.WINDOWS_PATH, "<*>", s)
-    s = re.sub(C.UNIX_PATH, "<*>", s)
-    if terms:
-        ordered = sorted(set(t for t in terms if t), key=lambda t: (-len(t), t))
-        s = re.sub(r"(?<!\w)(?:" + "|".join(map(re.escape, ordered)) + r")(?!\w)", "<*>", s, flags=re.I)
-    for rule in (C.MIXED_TOKEN.replace("(?:(?<=^)|", "(?:^|"), C.DOTTED_CHAIN, C.WILDCARD_RUN):
-        s = re.sub(rule, "<*>", s)
-    return re.sub(C.BLANK_RUN, " ", s).strip()
-
-
-def test_rules_agree_with_python(spark):
-    df = spark.createDataFrame(list(enumerate(CASES)), "i int, s string")
-    for terms in ((), ("admin", "root", "null", "C++", "", "root")):
+def test_rules(spark):
+    df = spark.createDataFrame([(i, case[0]) for i, case in enumerate(CASES)], "i int, s string")
+    for column, terms in ((1, ()), (2, TERMS)):
         got = {r.i: r.c for r in df.select("i", C.correct_template(F.col("s"), terms).alias("c")).collect()}
-        for i, s in enumerate(CASES):
-            assert got[i] == expected(s, terms), s
+        assert got == {i: case[column] for i, case in enumerate(CASES)}
 
 
 def test_null_second_pass_and_switch(spark):

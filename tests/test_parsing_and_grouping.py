@@ -8,8 +8,8 @@ from logsense.functions.parsing import effective_message, event_time, parse_entr
 from logsense.operators import grouping
 from logsense.plans.parse import parse_lines
 
-FULL = "[2025-08-27 11:07:22.966] [debug  ] [ipwl] [ 6052: 2192] [B934A2: 557] whitelist is the same, distribution skipped"
-SHORT = "[2025-08-27 11:07:06.247] 5088 UnregisterJob_2 END long=0"
+FULL = "[2024-02-03 04:05:06.789] [debug  ] [disk] [ 1234: 77] [C0FFEE: 42] volume has not changed, check skipped"
+SHORT = "[2024-02-03 04:05:07.001] 4321 CloseHandle_9 DONE code=0"
 
 
 def parse(spark, raws, config=ParserConfig()):
@@ -20,10 +20,10 @@ def parse(spark, raws, config=ParserConfig()):
 def test_layouts(spark):
     full, short, free = parse(spark, [FULL, SHORT, "free text"])
     assert (full.parsing_status, full.level, full.component, full.pid, full.tid, full.file_guid_prefix, full.line_no) == (
-        "parsed", "DEBUG", "ipwl", 6052, 2192, "B934A2", 557)
-    assert full.timestamp == "2025-08-27 11:07:22.966" and full.message.endswith("skipped")
-    assert (short.level, short.component, short.pid, short.tid, short.line_no) == (None, None, 5088, -1, -1)
-    assert short.message == "UnregisterJob_2 END long=0"
+        "parsed", "DEBUG", "disk", 1234, 77, "C0FFEE", 42)
+    assert full.timestamp == "2024-02-03 04:05:06.789" and full.message.endswith("skipped")
+    assert (short.level, short.component, short.pid, short.tid, short.line_no) == (None, None, 4321, -1, -1)
+    assert short.message == "CloseHandle_9 DONE code=0"
     assert (free.parsing_status, free.message, free.pid, free.line_no, free.timestamp) == ("raw", "free text", -1, 3, None)
 
 

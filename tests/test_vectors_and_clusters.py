@@ -162,3 +162,35 @@ def test_projection(spark, points, vectors):
     assert project_2d(vectors, "id", "label", sample_size=50).count() == 50
     with pytest.raises(ValueError):
         project_2d(vectors.withColumn("label", F.lit(None).cast("int")), "id", "label")
+
+
+def test_null_ragged_and_nan_vectors(spark):
+    model = center_model([0, 1], [[0.0, 0.0], [2.0, 0.0]], thresholds={0: 0.5, 1: 0.5})
+    schema = "i int, embedding array<double>"
+    nulls = spark.createDataFrame([(1, None), (2, None)], schema)
+    assert [r.cluster for r in assign(nulls, model).collect()] == [None, None]
+    with pytest.raises(Exception, match="vectors of 2 values"):
+        assign(spark.createDataFrame([(1, [1.0, 2.0]), (2, [3.0, 4.0, 5.0, 6.0])], schema).coalesce(1), model).collect()
+    odd = spark.createDataFrame([(1, [float("nan"), 0.0]), (2, [9.0, 0.0]), (3, None)], schema)
+    assert [r.i for r in find_anomalies(odd, model).collect()] == [2]
+    assert np.isnan({r.i: r.distance for r in assign(odd, model).collect()}[1])
+
+
+def test_metrics_leave_out_rows_without_vector_or_label(spark, vectors):
+    holes = vectors.select("embedding", "label").unionByName(
+        spark.createDataFrame([(None, 1), ([0.0] * 6, None)], "embedding array<double>, label int")
+    )
+    assert label_metrics(holes, "label") == pytest.approx(label_metrics(vectors, "label"))
+
+
+def test_infinite_distances_have_percentiles(spark):
+    inf = float("inf")
+    values = [("a", v) for v in (1.0, 2.0, 3.0, inf, inf, inf, 4.0)] + [("b", -inf), ("b", 0.0), ("b", 1.0), ("b", 5.0)]
+    df = spark.createDataFrame(values, "g string, v double")
+    for percent in (0, 25, 50):
+        assert group_percentiles(df, "g", "v", percent, direct_rows=3) == group_percentiles(df, "g", "v", percent)
+
+
+def test_minibatch_keeps_k_with_small_batches(spark, vectors):
+    config = ClusterConfig(method="minibatch", batch_size=3, epochs=1, n_init=1)
+    assert fit(vectors.limit(30), 6, config, id_col="id").k == 6
