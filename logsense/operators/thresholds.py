@@ -44,7 +44,7 @@ def group_percentiles(df: DataFrame, group: str, value: str, percent: float, dir
         rank = percent / 100 * (r["n"] - 1)
         low, high = exact[(r["g"], math.floor(rank))], exact[(r["g"], math.ceil(rank))]
         part = rank - math.floor(rank)
-        out.append((r["g"], low if part == 0 or low == high else low + (high - low) * part, r["n"]))
+        out.append((r["g"], low if part == 0 or low == high else (1 - part) * low + part * high, r["n"]))
     return sorted(out)
 
 
