@@ -85,11 +85,8 @@ def _masked(tokens: str, mask: str) -> Column:
     return F.array_join(F.zip_with(tokens, mask, lambda t, m: F.when(m, WILDCARD).otherwise(t)), " ")
 
 
-def match_logs(logs: DataFrame, templates: DataFrame, message_col: str = "message") -> DataFrame:
-    """Give each log row its template; an unmatched message is its own template.
-
-    Adds ``template`` and ``is_new``. Nothing is learned.
-    """
+def message_templates(logs: DataFrame, templates: DataFrame, message_col: str = "message") -> DataFrame:
+    """``message, n, template, is_new`` per distinct text of ``logs``, stored; an unmatched one is its own template."""
     messages = materialize(distinct_messages(logs, message_col), "messages")
     matched = match_messages(messages, materialize(templates, "templates"))
     lookup = matched.select(
@@ -98,7 +95,20 @@ def match_logs(logs: DataFrame, templates: DataFrame, message_col: str = "messag
         F.coalesce("template", "message").alias("template"),
         F.col("template").isNull().alias("is_new"),
     )
-    rows = lookup_join(logs, materialize(lookup, "lookup"), message_col, "n")
+    return materialize(lookup, "lookup")
+
+
+def match_logs(logs: DataFrame, templates: DataFrame, message_col: str = "message") -> DataFrame:
+    """Give each log row its template; an unmatched message is its own template.
+
+    Adds ``template`` and ``is_new``. Nothing is learned.
+    """
+    return with_templates(logs, message_templates(logs, templates, message_col), message_col)
+
+
+def with_templates(logs: DataFrame, lookup: DataFrame, message_col: str = "message") -> DataFrame:
+    """The log rows with what ``lookup`` has for their message; a row without text is its own template."""
+    rows = lookup_join(logs, lookup, message_col, "n")
     return rows.withColumn("template", F.coalesce("template", F.col(message_col))).withColumn(
         "is_new", F.coalesce("is_new", F.lit(True))
     )

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
 from logsense.functions.correction import with_correction
 from logsense.operators.clustering import ClusterModel
-from logsense.operators.embedding import Embedder, embed_distinct, embed_rows, hashed_embedder
+from logsense.operators.embedding import Embedder, hashed_embedder
 from logsense.operators.joins import lookup_join
 from logsense.operators.scoring import find_anomalies
-from logsense.operators.templates import match_logs
+from logsense.operators.templates import message_templates, with_templates
 from logsense.session import materialize
 
 
@@ -21,8 +22,23 @@ def template_rows(
 
     It carries a vector per row; ``detect`` does not need it.
     """
-    rows = with_correction(match_logs(parsed, templates), miner.apply_correction, miner.user_strings)
-    return embed_rows(rows, "corrected_template", embedder or hashed_embedder()).drop("corrected_template", "was_corrected")
+    lookup = corrected_lookup(parsed, templates, miner)
+    vectors = (embedder or hashed_embedder())(
+        lookup.groupBy("corrected_template").agg(F.sum("n").alias("_rows")), "corrected_template"
+    )
+    known = lookup.join(vectors.drop("_rows"), "corrected_template").drop("corrected_template")
+    rows = with_templates(parsed, materialize(known, "vectors"))
+    return rows.filter(F.col("embedding").isNotNull())
+
+
+def corrected_lookup(parsed: DataFrame, templates: DataFrame, miner: MinerConfig) -> DataFrame:
+    """``message, n, template, is_new, corrected_template`` per distinct text, and for the empty text."""
+    lookup = message_templates(parsed, templates)
+    blank = parsed.sparkSession.range(1).select(
+        F.lit("").alias("message"), F.lit(0).cast("bigint").alias("n"), F.lit("").alias("template"), F.lit(True).alias("is_new")
+    )
+    both = with_correction(lookup.unionByName(blank), miner.apply_correction, miner.user_strings)
+    return both.drop("was_corrected")
 
 
 def detect(
@@ -35,13 +51,14 @@ def detect(
 ) -> DataFrame:
     """Parsed columns + ``template, is_new, embedding, cluster, distance, threshold`` of the anomalies.
 
-    Rows are matched without learning. Each distinct template is embedded and scored once, and
-    only the anomalous templates are joined back, so vectors never ride along with normal rows.
-    An input without anomalies gives an empty table of the same schema.
+    Rows are matched without learning. The logs are read twice: once for their distinct texts, once to pick the
+    rows of anomalous texts. Each distinct template is embedded and scored once, from the lookup of
+    texts, so vectors never ride along with normal rows. An input without anomalies gives an empty
+    table of the same schema.
     """
-    rows = with_correction(match_logs(parsed, templates), miner.apply_correction, miner.user_strings).drop(
-        "was_corrected"
-    )
-    scored = embed_distinct(rows, "corrected_template", embedder or hashed_embedder())
-    odd = materialize(find_anomalies(scored, model, common=common), "anomalies")
-    return lookup_join(rows, odd, "corrected_template", "n", how="inner").drop("corrected_template")
+    lookup = corrected_lookup(parsed, templates, miner)
+    distinct = lookup.groupBy("corrected_template").agg(F.sum("n").alias("_rows"))
+    scored = (embedder or hashed_embedder())(distinct, "corrected_template").drop("_rows")
+    odd = find_anomalies(scored, model, common=common)
+    texts = materialize(lookup.join(odd, "corrected_template").drop("corrected_template"), "anomalies")
+    return lookup_join(parsed, texts, "message", "n", how="inner")
