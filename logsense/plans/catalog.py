@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from logsense.config import ClusterConfig, MinerConfig, ParserConfig
 from logsense.functions.correction import WILDCARD, correct_template
 from logsense.functions.parsing import effective_message, parse_entries
-from logsense.functions.tokens import tokens_of
+from logsense.functions.tokens import tokens_of, wide_hash
 from logsense.functions.vectors import as_doubles, l2_normalize
 from logsense.operators.clustering import (
     ClusterModel, assign, center_model, centers_frame, evaluate_k_range, fit, inertia, label_centers, train_clusters,
@@ -27,7 +27,7 @@ from logsense.operators.grouping import group_entries
 from logsense.operators.metrics import (
     EVALUATION_SCHEMA, elbow, label_metrics, metric_series, silhouette, suggest_k,
 )
-from logsense.operators.mining import mine_assignments, mine_templates
+from logsense.operators.mining import mine_assignments, mine_templates, routed_messages, similar_pairs
 from logsense.operators.projection import project_2d
 from logsense.operators.sampling import sample_rows
 from logsense.operators.scoring import find_anomalies, score, thresholds_frame
@@ -202,11 +202,28 @@ def unmatched_messages(spark, sf_dir):
     return new_messages(match_logs(parsed_events(spark, sf_dir), quiet_templates(spark, sf_dir)))
 
 
-def _fit_of(assigned: DataFrame) -> DataFrame:
-    """Each distinct message, its count, and whether its template has its length and tokens."""
+def _fit_of(assigned: DataFrame, config: MinerConfig = MinerConfig()) -> DataFrame:
+    """Each distinct message, its count, and three properties of a finished mining run.
+
+    ``fits``: the template has the message's length and tokens. ``firm``: it kept the share of constants that
+    the similarity asks for. ``apart``: no heavier template of its route is similar, so nothing was left
+    to merge; messages returned as they came are not apart.
+    """
+    assigned = materialize(assigned, "assigned")
     agree = F.zip_with(tokens_of(F.col("template")), tokens_of(F.col("message")), lambda t, m: (t == WILDCARD) | (t == m))
     fits = F.coalesce(F.forall(agree, lambda ok: F.coalesce(ok, F.lit(False))), F.lit(False))
-    return assigned.select("message", "n", fits.alias("fits"))
+    sized = assigned.groupBy("template").agg(F.sum("n").alias("n"))
+    routed = routed_messages(sized.withColumnRenamed("template", "message"), config)
+    named = materialize(
+        routed.select("*", *wide_hash("id", F.col("n_tokens"), F.col("route_key"), F.col("template"))), "templates"
+    )
+    close = similar_pairs(named, config.similarity).select("id_a", "id_b", F.lit(True).alias("_close"))
+    constants = F.size(F.filter(F.split("template", " "), lambda t: t != WILDCARD))
+    checked = named.join(close, ["id_a", "id_b"], "left").select(
+        "template", (constants >= config.similarity * F.col("n_tokens") - 1e-9).alias("firm"),
+        F.col("_close").isNull().alias("apart"),
+    )
+    return assigned.join(checked, "template").select("message", "n", fits.alias("fits"), "firm", "apart")
 
 
 def mine_events(spark, sf_dir):

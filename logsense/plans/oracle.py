@@ -270,11 +270,11 @@ SELECT doc_id, line_no, corrected_template, line <> corrected_template AS was_co
     "SELECT event_id, component, level AS log_level, template FROM parsed JOIN assigned USING (message)",
     "template_match": f"WITH {MATCHED} SELECT event_id, template, is_new FROM matched",
     "unmatched_messages": f"WITH {MATCHED} SELECT log_file, message AS new_log_message FROM matched WHERE is_new",
-    "mine_events": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits FROM source GROUP BY message",
-    "mine_documents": f"WITH {LINES} SELECT line AS message, count(*) AS n, true AS fits FROM lines WHERE line <> '' GROUP BY line",
+    "mine_events": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits, true AS firm, true AS apart FROM source GROUP BY message",
+    "mine_documents": f"WITH {LINES} SELECT line AS message, count(*) AS n, true AS fits, true AS firm, true AS apart FROM lines WHERE line <> '' GROUP BY line",
     "mine_sizes": f"WITH {MESSAGES} SELECT len(regexp_split_to_array(trim(message), '\\s+'))::INTEGER AS n_tokens, "
     "count(*)::BIGINT AS messages FROM source GROUP BY ALL",
-    "mine_again": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits FROM source GROUP BY message",
+    "mine_again": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits, true AS firm, true AS apart FROM source GROUP BY message",
     "embed_messages": f"WITH {MESSAGES}, {_vectors('source', 'message')} SELECT message, pos, round(value, 6) AS value FROM vectors",
     "embed_map_back": f"WITH {MESSAGES}, {_vectors('source', 'message')} "
     "SELECT event_id, round(sum(value), 6) AS total FROM source JOIN vectors USING (message) GROUP BY event_id",

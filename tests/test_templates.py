@@ -144,3 +144,45 @@ def test_lookup_join_is_a_plain_join(spark, monkeypatch, hot, how):
     lookup = spark.createDataFrame([("hot", 300, None)] + [(f"k{i}", 11, i) for i in range(9)], "k string, n int, v int")
     got = lookup_join(left, lookup, "k", "n", how).select("id", "k", "v")
     assert sorted(map(str, got.collect())) == sorted(map(str, left.join(lookup, "k", how).select("id", "k", "v").collect()))
+
+
+def test_mining_is_the_same_with_small_buckets(spark, monkeypatch):
+    """Pairs of similar messages in one route: each pair is one template, whatever the buckets."""
+    letters = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    rows = []
+    for k in range(300):
+        words = [f"w{letters(k * 10 + p)}" for p in range(8)]
+        rows += [(" ".join(["go", *words, end]), 2) for end in ("left", "right")]
+    df = spark.createDataFrame(rows, "message string, n bigint")
+    found = []
+    for room in (4096, 16):
+        monkeypatch.setattr(mining, "BUCKET_ROWS", room)
+        found.append(sorted((r.template, r.n) for r in mining.mine_groups(df, MinerConfig(depth=4)).collect()))
+    assert len(found[0]) == 300 and found[0] == found[1]
+
+
+def test_no_two_templates_are_similar_after_the_bands(spark):
+    rng = random.Random(8)
+    words = [f"{a}{b}" for a in "abcd" for b in "xyz"]
+    for width, similarity in ((1, 0.65), (4, 0.5), (9, 0.65), (6, 1.0), (5, 0.2)):
+        texts = {" ".join(rng.choice(words[:6]) for _ in range(width)) for _ in range(60)}
+        rows = [(width, "r", t, rng.randint(1, 9)) for t in texts]
+        df = spark.createDataFrame(rows, "n_tokens int, route_key string, template string, n bigint")
+        out = mining.merge_by_bands(df, similarity).collect()
+        assert sum(r.n for r in out) == sum(r[3] for r in rows)
+        left = [r.template.split(" ") for r in out]
+        need = similarity * width - 1e-9
+        same = lambda a, b: sum(x == y != mining.WILDCARD for x, y in zip(a, b))
+        assert not any(same(a, b) >= need for i, a in enumerate(left) for b in left[:i])
+        for text in texts:
+            assert any(all(x in (mining.WILDCARD, y) for x, y in zip(t, text.split(" "))) for t in left)
+
+
+def test_a_miner_that_merges_nothing_is_caught(spark):
+    from logsense.plans.catalog import _fit_of
+
+    texts = [f"job started by {name} today" for name in ("ann", "bob", "cy")]
+    same = spark.createDataFrame([(t, 1, t) for t in texts], "message string, n bigint, template string")
+    assert {(r.fits, r.apart) for r in _fit_of(same).collect()} == {(True, True), (True, False)}
+    blank = spark.createDataFrame([(t, 1, "<*> <*> <*> <*> <*>") for t in texts], "message string, n bigint, template string")
+    assert {(r.fits, r.firm) for r in _fit_of(blank).collect()} == {(True, False)}
