@@ -37,12 +37,12 @@ from logsense.operators.templates import (
 from logsense.operators.thresholds import learn_thresholds
 from logsense.plans.detect import detect, template_rows
 from logsense.plans.parse import parse_log_files
-from logsense.plans.train import embed_templates, train
+from logsense.plans.train import embed_templates, train, training_rows
 from logsense.session import materialize, scratch_path
 from logsense.sources import artifacts
 from logsense.sources.text_logs import is_excluded, lines_of_texts, read_log_lines
 from logsense.streaming.grouping import StreamGrouping
-from logsense.streaming.jobs import anomaly_vectors, append_to, detect_stream, window_counts
+from logsense.streaming.jobs import anomaly_vectors, append_to, detect_stream, latest_counts, upsert_to, window_counts
 
 SUPPORT = 100
 PERCENT = 90.0
@@ -186,6 +186,15 @@ def template_assign(spark, sf_dir):
     return rows.select(F.col("start_line_no").alias("event_id"), "component", F.col("level").alias("log_level"), "template")
 
 
+def training_assignment(spark, sf_dir):
+    """The training rows that a template of the quiet log holds, with its id and corrected form."""
+    rows = training_rows(parsed_events(spark, sf_dir), quiet_templates(spark, sf_dir))
+    return rows.select(
+        F.col("start_line_no").alias("event_id"), "component", "log_level", "cluster_id", "template", "corrected_template",
+        "was_corrected",
+    )
+
+
 def quiet_templates(spark, sf_dir):
     """Templates of the log without its errors: what a detector would be trained on."""
     quiet = table(spark, sf_dir, "events").filter("event_type <> 'error'").select(event_message().alias("message"))
@@ -512,6 +521,18 @@ def text_file_lines(spark, sf_dir):
     return lines.groupBy("line").agg(F.count("*").alias("n"))
 
 
+def text_file_entries(spark, sf_dir):
+    """Documents as one text file per source, read back and grouped to numbered multi-line entries."""
+    path = scratch_path(spark, "logs")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    placed = docs.repartition("source").sortWithinPartitions("source", "doc_id")
+    placed.select("text", "source").write.partitionBy("source").text(path)
+    lines = read_log_lines(spark, path, pattern="**/*.txt")
+    return group_entries(lines, SENTENCES).select(
+        F.regexp_extract("log_file", "source=([^/]*)/", 1).alias("source"), "start_line_no", "raw", "n_lines"
+    )
+
+
 def text_file_parse(spark, sf_dir):
     """Rendered events written as log files, some folders left out, then parsed from the files."""
     path = scratch_path(spark, "logs")
@@ -591,12 +612,12 @@ def stream_entries(spark, sf_dir):
 
 
 def stream_level_windows(spark, sf_dir):
-    """Hourly counts per type of event; the windows the watermark has closed."""
+    """Hourly counts per type of event: all windows, those still open with their latest count."""
     out = scratch_path(spark, "windows")
     counts = window_counts(stream(spark, sf_dir, "events"), ["event_type"], time_col="ts")
-    finish(append_to(counts, out))
+    finish(upsert_to(counts, out))
     start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss")
-    return spark.read.parquet(out).select(start.alias("window_start"), "event_type", "n")
+    return latest_counts(spark, out, ["event_type"]).select(start.alias("window_start"), "event_type", "n")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -604,7 +625,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         events_level_counts, events_parse, events_effective_message, doc_lines_clean, doc_entries, doc_entries_uncut,
         doc_entries_single, page_excludes, doc_correct,
-        template_freq, template_sizes, template_assign, template_match, unmatched_messages,
+        template_freq, template_sizes, template_assign, training_assignment, template_match, unmatched_messages,
         mine_events, mine_documents, mine_sizes, mine_again,
         embed_messages, embed_map_back, embed_tfidf, embed_user_model, l2_normalized,
         nearest_centers, label_inertia, cluster_thresholds, cluster_thresholds_large, common_threshold,
@@ -612,7 +633,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         cluster_quality, silhouette_fast, k_eval, k_suggestion, k_elbow, k_metric_series, vector_sample,
         kmeans_fit, minibatch_fit, k_sweep, kmeans_auto_k, pca_projection, pca_projection_sample,
         detect_events, detection_rows, train_and_detect,
-        text_file_lines, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, embeddings_roundtrip, model_roundtrip,
+        text_file_lines, text_file_entries, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, embeddings_roundtrip, model_roundtrip,
         stream_parse, stream_score, stream_detect, stream_entries, stream_level_windows,
     )
 }

@@ -328,8 +328,13 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "stream_detect": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
     "stream_entries": f"WITH {LINES}, {_entries(5, chr(39) + ' ' + chr(39))} {_ENTRIES}",
     "stream_level_windows": """
-WITH counted AS (
-  SELECT time_bucket(INTERVAL 1 HOUR, ts) AS s, event_type, count(*) AS n FROM events GROUP BY ALL)
-SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n FROM counted
-WHERE s + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n
+FROM events GROUP BY ALL""",
+    "text_file_entries": f"""
+WITH {LINES.replace("SELECT doc_id, regexp_split", "SELECT source AS doc_id, regexp_split").replace("FROM documents WHERE length(text) > 0",
+    "FROM (SELECT source, string_agg(text || chr(10), '' ORDER BY doc_id) AS text FROM documents GROUP BY source)")},
+{_entries(5, chr(39) + ' ' + chr(39))}
+SELECT doc_id AS source, start_line_no, raw, n_lines FROM entries""",
+    "training_assignment": f"WITH {MATCHED} SELECT event_id, component, level AS log_level, cluster_id, template, "
+    "template AS corrected_template, false AS was_corrected FROM matched JOIN templates USING (template) WHERE NOT is_new",
 }

@@ -12,8 +12,9 @@ from logsense.functions.parsing import effective_message
 from logsense.operators.clustering import ClusterModel, assign, train_clusters
 from logsense.operators.embedding import Embedder, hashed_embedder
 from logsense.operators.frequency import assign_frequency_templates, distinct_messages
+from logsense.operators.joins import lookup_join
 from logsense.operators.mining import mine_templates
-from logsense.operators.templates import template_table
+from logsense.operators.templates import match_messages, template_table
 from logsense.operators.thresholds import learn_thresholds
 from logsense.session import materialize
 
@@ -43,6 +44,22 @@ def mine(
     return mine_templates(messages, config, previous)
 
 
+def training_rows(parsed: DataFrame, templates: DataFrame) -> DataFrame:
+    """Each training row with the template that holds it; rows without text or template are left out.
+
+    ``log_file, start_line_no, component, log_level, cluster_id, template, corrected_template, was_corrected``.
+    """
+    rows = messages_of(parsed)
+    known = materialize(templates, "templates")
+    matched = match_messages(materialize(distinct_messages(rows), "messages"), known).filter("template IS NOT NULL")
+    corrected = known.select("cluster_id", "corrected_template", "was_corrected")
+    lookup = materialize(matched.join(corrected, "cluster_id"), "lookup")
+    return lookup_join(rows, lookup, "message", "n", how="inner").select(
+        "log_file", "start_line_no", "component", F.col("level").alias("log_level"), "cluster_id", "template",
+        "corrected_template", "was_corrected",
+    )
+
+
 def embed_templates(templates: DataFrame, embedder: Embedder) -> DataFrame:
     """``cluster_id, template, embedding``, keyed rather than aligned by position."""
     return embedder(templates.select("cluster_id", "template", "corrected_template"), "corrected_template").select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def read_raw_lines(
 
     ``log_file, block, pos, line``: ``block`` is the split's offset in its file and ``pos`` grows
     along a split, so (block, pos) is the file's own order and stays so when a task is run again.
-    Names starting with ``_`` or ``.`` are never read; Spark's file listing leaves them out.
+    A glob without a hit gives no lines. Names starting with ``_`` or ``.`` are never read; Spark's file listing
+    leaves them out. ``skip_unreadable=False`` fails on a bad file instead of skipping what is left of it.
     """
     root = path.rstrip("/") or "/"
     reader = spark.read.option("ignoreMissingFiles", skip_unreadable).option("ignoreCorruptFiles", skip_unreadable)
@@ -53,7 +55,12 @@ def read_raw_lines(
         if pattern.replace("**/", "", 1) != tail or not pattern.startswith("**/"):
             files = files.filter(inside.rlike(f"^{glob_to_regex(pattern)}$"))
     else:
-        files = reader.text(f"{root}/{pattern}")
+        try:
+            files = reader.text(f"{root}/{pattern}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], "log_file string, block bigint, pos bigint, line string")
     if exclude_globs:
         files = files.filter(~is_excluded(_file_path(), exclude_globs))
     return files.select(

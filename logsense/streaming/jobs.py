@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -60,6 +60,21 @@ def anomaly_vectors(vectors: DataFrame, model: ClusterModel, vector_col: str = "
     return find_anomalies(vectors, model, vector_col)
 
 
+def upsert_to(counts: DataFrame, out_path: str, checkpoint: str | None = None, **trigger) -> StreamingQuery:
+    """Every change of a windowed count, open windows too; read them with ``latest_counts``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    return start(counts.writeStream.outputMode("update").foreachBatch(write), counts, checkpoint, **trigger)
+
+
+def latest_counts(spark: SparkSession, out_path: str, keys: list[str]) -> DataFrame:
+    """The last count of each window and ``keys`` that ``upsert_to`` has written."""
+    changes = spark.read.parquet(out_path)
+    return changes.groupBy("window_start", "window_end", *keys).agg(F.max_by("n", "batch").alias("n"))
+
+
 def window_counts(
     logs: DataFrame, keys: list[str], width: str = "1 hour", delay: str = "1 hour", time_col: str | None = None
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from logsense.plans.parse import parse_log_files, parse_new_file
 from logsense.plans.train import train
 from logsense.sources import artifacts
 from logsense.streaming.grouping import StreamGrouping
-from logsense.streaming.jobs import append_to, window_counts
+from logsense.streaming.jobs import append_to, latest_counts, upsert_to, window_counts
 
 
 def test_train_then_detect(spark, tmp_path):
@@ -85,6 +85,17 @@ def test_window_counts_drop_open_windows(spark, tmp_path):
     assert [(r.level, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", 2)]
 
 
+def test_latest_counts_have_open_windows(spark, tmp_path):
+    source = str(tmp_path / "in")
+    rows = [("2024-01-01 00:10:00", "a"), ("2024-01-01 00:20:00", "a"), ("2024-01-01 05:00:00", "b")]
+    df = spark.createDataFrame(rows, "timestamp string, level string")
+    for k, part in enumerate((df.limit(1), df.offset(1))):
+        part.coalesce(1).write.parquet(f"{source}/{k}")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(source)
+    upsert_to(window_counts(stream, ["level"], delay="9 hours"), str(tmp_path / "out")).awaitTermination()
+    assert sorted((r.level, r.n) for r in latest_counts(spark, str(tmp_path / "out"), ["level"]).collect()) == [("a", 2), ("b", 1)]
+
+
 def test_scoring_needs_no_shuffle(spark):
     df = spark.createDataFrame([([1.0],)], "embedding array<double>")
     plan = assign(df, center_model([0], [[0.0]]))._jdf.queryExecution().executedPlan().toString()

@@ -104,3 +104,9 @@ def test_numbers_run_on_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert got == {i + 1: s.strip() for i, s in enumerate(lines)}
+
+
+def test_a_glob_without_a_hit_gives_no_lines(spark, tmp_path):
+    (tmp_path / "a.log").write_text("x\n")
+    assert read_log_lines(spark, str(tmp_path), pattern="*.txt").count() == 0
+    assert read_log_lines(spark, str(tmp_path), pattern="*.log").count() == 1
