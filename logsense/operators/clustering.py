@@ -157,7 +157,7 @@ def evaluate_k_range(
     vector_col: str = "embedding",
     parallelism: int = 4,
 ) -> DataFrame:
-    """One row per k: inertia over all vectors, quality metrics on one sample, and fit time.
+    """One row per k: inertia and quality metrics over all vectors, the silhouette on one sample, and fit time.
 
     The sample is the same for every k. A few values of k are worked on at once, as the fits of
     one k seldom fill a cluster.
@@ -172,7 +172,9 @@ def evaluate_k_range(
         begin = time.perf_counter()
         model = fit(vectors, k, config, vector_col, id_col)
         seconds = time.perf_counter() - begin
-        scores = label_metrics(assign(sample, model, vector_col), "cluster", vector_col)
+        scores = label_metrics(
+            assign(vectors, model, vector_col), "cluster", vector_col, assign(sample, model, vector_col)
+        )
         return (k, model.inertia, *scores, seconds, sample_size)
 
     with ThreadPool(parallelism) as pool:

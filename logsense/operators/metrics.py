@@ -149,11 +149,21 @@ def silhouette(
     return _finite(float(points.select(score("label", "v").alias("s")).agg(F.avg("s")).first()[0]))
 
 
-def label_metrics(df: DataFrame, label_col: str, vector_col: str = "embedding") -> tuple:
-    """(silhouette, Davies-Bouldin, Calinski-Harabasz); null where a metric is not defined."""
+def label_metrics(
+    df: DataFrame, label_col: str, vector_col: str = "embedding", sample: DataFrame | None = None
+) -> tuple:
+    """(silhouette, Davies-Bouldin, Calinski-Harabasz); null where a metric is not defined.
+
+    The last two are sums over all rows of ``df``. The silhouette compares points with each other; it runs on
+    ``sample`` if one is given, rows of the same columns.
+    """
     stats = label_statistics(df, label_col, vector_col)
-    values = sum(s["n"] * len(s["center"]) for s in stats)
-    return silhouette(df, label_col, vector_col, values=values), davies_bouldin_of(stats), calinski_harabasz_of(stats)
+    if sample is None:
+        values = sum(s["n"] * len(s["center"]) for s in stats)
+        middle = silhouette(df, label_col, vector_col, values=values)
+    else:
+        middle = silhouette(sample, label_col, vector_col)
+    return middle, davies_bouldin_of(stats), calinski_harabasz_of(stats)
 
 
 def elbow(evaluations: DataFrame) -> DataFrame:

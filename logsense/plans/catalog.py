@@ -17,7 +17,8 @@ from logsense.functions.parsing import effective_message, parse_entries
 from logsense.functions.tokens import tokens_of, wide_hash
 from logsense.functions.vectors import as_doubles, l2_normalize
 from logsense.operators.clustering import (
-    ClusterModel, assign, center_model, centers_frame, evaluate_k_range, fit, inertia, label_centers, train_clusters,
+    ClusterModel, assign, center_model, centers_frame, evaluate_k_range, fit, inertia, k_range, label_centers,
+    train_clusters,
 )
 from logsense.operators.embedding import (
     embed_distinct, embed_rows, fit_tfidf, fitted_embedder, hashed_embedder, model_embedder,
@@ -381,12 +382,13 @@ METRIC_SAMPLE = ClusterConfig().sample_size
 
 
 def metric_sample(vectors: DataFrame) -> DataFrame:
-    """The bounded sample all-pairs metrics run on; it is the whole table up to that size."""
+    """The bounded sample the all-pairs silhouette runs on; it is the whole table up to that size."""
     return sample_rows(vectors, "vec_id", METRIC_SAMPLE)
 
 
 def cluster_quality(spark, sf_dir):
-    s, db, ch = label_metrics(metric_sample(embeddings(spark, sf_dir)), "label")
+    vectors = embeddings(spark, sf_dir)
+    s, db, ch = label_metrics(vectors, "label", sample=metric_sample(vectors))
     row = spark.createDataFrame([(s, db, ch)], "silhouette double, davies_bouldin double, calinski_harabasz double")
     return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
 
@@ -404,7 +406,8 @@ def label_sweep(spark, sf_dir) -> DataFrame:
     def one(k: int) -> tuple:
         value = F.col("label") % k
         model = label_centers(vectors.withColumn("label", value), "label")
-        return (k, inertia(vectors, model), *label_metrics(sample.withColumn("label", value), "label"), 0.0, 0)
+        scores = label_metrics(vectors.withColumn("label", value), "label", sample=sample.withColumn("label", value))
+        return (k, inertia(vectors, model), *scores, 0.0, 0)
 
     with ThreadPool(4) as pool:
         rows = pool.map(one, range(2, 11, 2), chunksize=1)
@@ -453,12 +456,13 @@ def minibatch_fit(spark, sf_dir):
 
 def k_sweep(spark, sf_dir):
     vectors = materialize(embeddings(spark, sf_dir), "vectors")
-    return evaluate_k_range(vectors, "vec_id", range(2, 11, 4)).select("k", *_SCORES, "sample_size")
+    values = k_range(ClusterConfig(), vectors.count())
+    return evaluate_k_range(vectors, "vec_id", values).select("k", *_SCORES, "sample_size")
 
 
 def kmeans_auto_k(spark, sf_dir):
     vectors = materialize(embeddings(spark, sf_dir), "vectors")
-    model, _, _ = train_clusters(vectors, "vec_id", ClusterConfig(k_start=2, k_stop=6, k_step=2))
+    model, _, _ = train_clusters(vectors, "vec_id", ClusterConfig())
     return centers_frame(spark, model)
 
 
