@@ -14,7 +14,7 @@ from logsense.operators.clustering import ClusterModel
 from logsense.operators.embedding import Embedder
 from logsense.operators.scoring import find_anomalies
 from logsense.plans.detect import detect
-from logsense.session import scratch_path
+from logsense.session import materialize, scratch_path
 
 
 def each_batch(
@@ -47,7 +47,8 @@ def detect_stream(
     checkpoint: str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Parsed log stream -> anomalies, by the batch detection of each micro-batch."""
+    """Parsed log stream -> anomalies, by the batch detection of each micro-batch; templates are stored once."""
+    templates = materialize(templates, "templates")
 
     def run(batch: DataFrame) -> DataFrame:
         return detect(batch, templates, model, embedder, miner)

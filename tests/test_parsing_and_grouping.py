@@ -93,6 +93,6 @@ def test_grouping_off_and_without_start_patterns(spark):
 def test_parsed_filters_do_not_repeat_the_regexes(spark):
     df = spark.createDataFrame([("f", 1, FULL), ("f", 2, "more"), ("f", 3, SHORT)], "log_file string, line_no bigint, line string")
     parsed = parse_lines(df)
-    assert [r.message.split()[-1] for r in parsed.orderBy("start_line_no").collect()] == ["more", "long=0"]
+    assert [r.message.split()[-1] for r in parsed.orderBy("start_line_no").collect()] == ["more", "code=0"]
     plan = parsed.filter("message <> ''").filter(F.col("level") == "DEBUG")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace") <= 2
