@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries of the corpus operators, where SQL can express them.
 
-Not here: best-fit packing (a greedy search), suffix removal (every 100-byte window of every text), language
-and Brown models (fitted), token files (a tokenizer). Tests hold these against plain loops.
+Not here: best-fit packing (a greedy search), language and Brown models (fitted), token files (a tokenizer).
+Tests hold these against plain loops.
 """
 
 from __future__ import annotations
@@ -90,6 +90,23 @@ FROM found JOIN sizes USING (item_id) JOIN (SELECT doc_id, item_id, max(places)
 WHERE n_matched >= {COVERAGE} * n_windows OR longest >= {RUN}
 """
 
+_OP4 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n_bytes FROM documents),
+w AS (SELECT doc_id, s, md5(substr(h, 2 * s + 1, 200)) AS k FROM d, unnest(range(n_bytes - 99)) AS u(s)),
+later AS (SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM w) WHERE r > 1),
+marked AS (SELECT *, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100, true) AS new FROM later),
+grouped AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM marked),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM grouped GROUP BY doc_id, g),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p, a FROM spans
+  UNION ALL SELECT doc_id, coalesce(max(b), 0), any_value(n_bytes) FROM d LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
+
 _NOTICE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in NOTICES.items())
 
 
@@ -155,6 +172,7 @@ FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _OP1,
     "op3_decontamination": _OP3,
+    "op4_suffix_dedup": _OP4,
     "op6_license_scan": _OP6,
     "op8_byte_shards": _OP8,
     "op9_minhash_dedup": _OP9,
