@@ -77,7 +77,7 @@ def _types(t: np.ndarray) -> np.ndarray:
 def _names(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Dense ranks of the substrings from each of ``lms`` to the next, by symbol and then type."""
     lengths = np.append(np.diff(lms) + 1, 1)
-    bits = int(t.max() * 2 + 2).bit_length()
+    bits = (int(t.max()) * 2 + 2).bit_length()
     per_word = 63 // bits
     rank = np.zeros(len(lms), np.int64)
     active, offset = np.arange(len(lms)), 0
@@ -87,7 +87,7 @@ def _names(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
         left = lengths[active] - offset
         for k in range(per_word):
             here = np.minimum(at + k, len(t) - 1)
-            word = (word << bits) | np.where(k < left, 2 * t[here] + s[here] + 1, 0)
+            word = (word << bits) | np.where(k < left, 2 * t[here] + s[here] + 1, 0).astype(np.int64)
         order = np.lexsort((word, rank[active]))
         active, word, left = active[order], word[order], left[order]
         old = rank[active]
@@ -99,7 +99,7 @@ def _names(t: np.ndarray, s: np.ndarray, lms: np.ndarray) -> np.ndarray:
         tied = ~new | np.append(~new[1:], False)
         active = active[tied & (left > per_word)]
         offset += per_word
-    return np.unique(rank, return_inverse=True)[1].astype(np.int64)
+    return np.unique(rank, return_inverse=True)[1].astype(np.int32)
 
 
 def _one_symbol(t, target, pending, symbol) -> np.ndarray:
@@ -188,7 +188,7 @@ def _induce(t, target, seeds: Iterator[np.ndarray], histogram, spill: Spill, lab
 def sorted_suffixes(t: np.ndarray, spill: Spill, depth: int = 0) -> Iterator[np.ndarray]:
     """All positions of ``t`` in descending order of their suffixes, in batches.
 
-    ``t`` holds small non-negative int64 symbols and ends with its only 0.
+    ``t`` holds non-negative symbols (int32, below 2 ** 29) and ends with its only 0.
     """
     s = _types(t) if len(t) > 1 else np.array([True])
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1

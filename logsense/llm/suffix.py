@@ -88,7 +88,8 @@ def _cut(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     """Packed pieces by bucket, and as bucket < 0 the pieces that repeat within an Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, keys, texts in batches_of(batches, "doc", "text_key", "text"):
+        # large batches, as equal pieces are kept once per batch
+        for docs, keys, texts in batches_of(batches, "doc", "text_key", "text", rows=10000):
             cut = [pieces(text, length) for text in texts]
             sizes = [len(c) for c in cut]
             if not sum(sizes):
@@ -151,14 +152,16 @@ def _piece_bytes(texts: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _same_as_before(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """True where the window at a place equals the window at the place before it in the list."""
+def _same_as_before(eights: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """True where the window at a place equals the window at the place before it in the list.
+
+    ``eights``: a view of the eight bytes from each place on.
+    """
     same = np.zeros(len(places), bool)
     alive = np.arange(1, len(places))
     for at in (*range(0, length - 7, 8), length - 8):
-        x = places[alive] + at
-        y = places[alive - 1] + at
-        alive = alive[data[x] == data[y]]
+        x, y = (eights[places[k] + at].view(_U64).ravel() for k in (alive, alive - 1))
+        alive = alive[x == y]
     same[alive] = True
     return same
 
@@ -169,24 +172,24 @@ def _sort_shard(table: pa.Table, length: int, folder: str) -> pa.Table:
     parts = table.column("piece").to_pylist()
     sizes = np.array([len(p) for p in parts])
     raw = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8)
+    del parts
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    symbols = raw.astype(np.int64) + 2
+    symbols = np.append(raw.astype(np.int32) + 2, np.int32(0))
     symbols[begins + sizes] = 1
     window = np.zeros(len(raw) + 1, bool)
-    owner = np.repeat(np.arange(len(parts)), sizes + 1)
-    offset = np.arange(len(raw)) - begins[owner]
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    offset = np.arange(len(raw), dtype=np.int32) - begins.astype(np.int32)[owner]
     window[:-1] = offset + length <= sizes[owner]
-    words = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(8, np.uint8)), 8)
-    words = np.ascontiguousarray(words).view(_U64).ravel()
+    eights = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(8, np.uint8)), 8)
     store, root = open_store(folder)
     spill, repeated, last = Spill(store, root), np.zeros(len(raw), bool), np.empty(0, np.int64)
     try:
-        for batch in sorted_suffixes(np.append(symbols, 0), spill):
+        for batch in sorted_suffixes(symbols, spill):
             # a string may go on in the next batch: its places are kept back
             places = np.concatenate([last, batch[window[batch]]])
             if not len(places):
                 continue
-            group = np.cumsum(~_same_as_before(words, places, length)) - 1
+            group = np.cumsum(~_same_as_before(eights, places, length)) - 1
             done = group < group[-1]
             _mark(repeated, places[done], group[done], docs, starts, owner, offset)
             last = places[~done]

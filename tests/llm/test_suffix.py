@@ -51,7 +51,7 @@ def test_induced_order_is_the_suffix_order(tmp_path, monkeypatch, batch, depth,
         text = [rng.randint(1, rng.choice([1, 2, 3, 30])) for _ in range(rng.randint(0, 50))]
         text = (text[: len(text) // 4] * 4 if k % 3 == 0 else text) + [0]
         spill = induced.Spill(fs.LocalFileSystem(), str(tmp_path), limit)
-        got = np.concatenate(list(induced.sorted_suffixes(np.array(text, np.int64), spill)))[::-1]
+        got = np.concatenate(list(induced.sorted_suffixes(np.array(text, np.int32), spill)))[::-1]
         spill.close()
         assert got.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
     assert list(tmp_path.iterdir()) == []
