@@ -5,7 +5,11 @@ and the string of names is sorted by the same procedure. From them the L suffixe
 ascending order and from these the S suffixes in descending order. A queue of suffixes stands for each
 range of first symbols; a popped range is ordered as one batch, pushes the suffixes one position to the
 left into later ranges, and moves on. Queues and orders beyond a byte limit lie on disk, so memory
-holds the string, its types and one batch.
+holds the string, its types, places and prefix lengths, and one batch.
+
+Common prefixes are induced with the order: neighbours of one first symbol share one symbol more than the least
+that their right neighbours share with all suffixes between them. Only those of the first ordered suffixes,
+and of an L next to an S suffix, are compared in the string.
 """
 
 from __future__ import annotations
@@ -19,6 +23,10 @@ import numpy as np
 BATCH = 1 << 16
 #: Left neighbours of left neighbours in one range, before the range is halved.
 DEPTH = 12
+#: Longest common prefix that is told apart, symbols that may be read beyond the string, and the bits of a
+#: position in a tuple.
+CAP, PAD, SHIFT = 255, 264, 40
+LOW = (1 << SHIFT) - 1
 
 
 class Spill:
@@ -151,8 +159,72 @@ def _many_symbols(t, target, pending, seeds, end) -> np.ndarray | None:
     return places[np.lexsort((np.concatenate([x[2] for x in levels]), *columns[::-1]))]
 
 
-def _induce(t, target, seeds: Iterator[np.ndarray], histogram, spill: Spill, label: str) -> Iterator[np.ndarray]:
-    """Targets and seeds in ascending order, a range of symbols at a time; ``seeds`` come by range."""
+class Prefixes:
+    """Of one pass: the place of each suffix in the order so far, and the prefix it shares with the one before.
+
+    Lengths end at ``CAP``. ``symbols``: the string for comparing, as ``common_prefixes`` takes it.
+    """
+
+    def __init__(self, t: np.ndarray, symbols: np.ndarray) -> None:
+        self.t, self.compared = t, symbols
+        self.place = np.zeros(len(t) + 1, np.int32)
+        self.shared = np.zeros(len(t), np.uint8)
+        self.n = 0
+
+    def add(self, ordered: np.ndarray, is_target: np.ndarray, seed_shared: np.ndarray) -> np.ndarray:
+        base, self.n = self.n, self.n + len(ordered)
+        self.place[ordered] = np.arange(base, self.n, dtype=np.int32)
+        shared = self.shared
+        shared[base : self.n][~is_target] = seed_shared
+        symbols = self.t[ordered]
+        edges = np.flatnonzero(np.concatenate([[True], symbols[1:] != symbols[:-1], [True]]))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            targets = int(np.count_nonzero(is_target[a:b]))  # they come before the seeds of their symbol
+            shared[base + a] = 0
+            right = self.place[ordered[a : a + targets] + 1]
+            done = 1
+            while done < targets:
+                # right neighbours of one symbol's runs are in this very list: as far as it is known
+                upto = int(np.searchsorted(right, base + a + done))
+                first, last = int(right[done - 1]), int(right[upto - 1])
+                least = np.minimum.reduceat(shared[first + 1 : last + 1], right[done - 1 : upto - 1] - first)
+                shared[base + a + done : base + a + upto] = np.minimum(least, CAP - 1) + 1
+                done = upto
+            if 0 < targets < b - a:
+                shared[base + a + targets] = common_prefixes(
+                    self.compared, ordered[a + targets - 1 : a + targets], ordered[a + targets : a + targets + 1]
+                )[0]
+        return shared[base : self.n]
+
+
+def common_prefixes(symbols: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many symbols the suffixes at ``x`` and ``y`` share, up to ``CAP``; uint16 with ``PAD`` zeros at the end."""
+    fours = np.lib.stride_tricks.sliding_window_view(symbols, 4)
+    length = np.zeros(len(x), np.int64)
+    alive = np.arange(len(x))
+    for at in range(0, CAP, 4):
+        differ = fours[x[alive] + at].view(np.uint64).ravel() ^ fours[y[alive] + at].view(np.uint64).ravel()
+        low = (differ & (~differ + np.uint64(1))).astype(np.float64)  # the lowest bit that differs
+        equal = differ == 0
+        length[alive] += np.where(equal, 4, np.log2(np.where(equal, 1, low)).astype(np.int64) // 16)
+        alive = alive[equal]
+        if not len(alive):
+            break
+    return np.minimum(length, CAP).astype(np.uint8)
+
+
+def _reversed_shared(shared: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, np.uint8), shared[:0:-1]])
+
+
+def _induce(
+    t, target, seeds: Iterator[np.ndarray], histogram, spill: Spill, label: str, prefixes: Prefixes | None = None
+) -> Iterator[np.ndarray]:
+    """Targets and seeds in ascending order, a range of symbols at a time; ``seeds`` come by range.
+
+    With ``prefixes`` seeds and results are tuples in one number: the place, and above ``SHIFT`` bits the prefix
+    shared with the one before.
+    """
     used = np.cumsum(histogram)
     starts, at = [0], 0
     while at < len(used):
@@ -164,16 +236,16 @@ def _induce(t, target, seeds: Iterator[np.ndarray], histogram, spill: Spill, lab
     for r, (begin, end) in enumerate(zip(starts[:-1], starts[1:])):
         pending = spill.pop((label, r))
         own = [rest]
-        while seeds is not None and (not len(own[-1]) or t[own[-1][-1]] < end):
+        while seeds is not None and (not len(own[-1]) or t[own[-1][-1] & LOW] < end):
             more = next(seeds, None)
             if more is None:
                 seeds = None
             else:
                 own.append(more)
         own = np.concatenate(own)
-        cut = np.searchsorted(t[own], end)
+        cut = np.searchsorted(t[own & LOW], end)
         own, rest = own[:cut], own[cut:]
-        ordered = _ordered(t, target, pending, own, begin, end)
+        ordered = _ordered(t, target, pending, own & LOW, begin, end)
         left = ordered[ordered > 0] - 1
         left = left[target[left] & (t[left] >= end)]
         into = np.searchsorted(starts, t[left], "right") - 1
@@ -181,14 +253,19 @@ def _induce(t, target, seeds: Iterator[np.ndarray], histogram, spill: Spill, lab
         left, into = left[by_range], into[by_range]
         for part in np.split(left, np.flatnonzero(np.diff(into)) + 1) if len(left) else ():
             spill.push((label, int(np.searchsorted(starts, t[part[0]], "right") - 1)), part)
-        if len(ordered):
+        if len(ordered) and prefixes is not None:
+            shared = prefixes.add(ordered, target[ordered], (own >> SHIFT).astype(np.uint8))
+            yield ordered | (shared.astype(np.int64) << SHIFT)
+        elif len(ordered):
             yield ordered
 
 
-def sorted_suffixes(t: np.ndarray, spill: Spill, depth: int = 0) -> Iterator[np.ndarray]:
+def sorted_suffixes(t: np.ndarray, spill: Spill, depth: int = 0, with_prefixes: bool = False) -> Iterator[np.ndarray]:
     """All positions of ``t`` in descending order of their suffixes, in batches.
 
-    ``t`` holds non-negative symbols (int32, below 2 ** 29) and ends with its only 0.
+    ``t`` holds non-negative symbols (int32, below 2 ** 29) and ends with its only 0. With prefixes (symbols below
+    2 ** 16) each position carries above ``SHIFT`` bits the prefix it shares with the one before,
+    0 at the start of a batch: no batch starts within the suffixes of one first symbol.
     """
     s = _types(t) if len(t) > 1 else np.array([True])
     lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
@@ -200,13 +277,27 @@ def sorted_suffixes(t: np.ndarray, spill: Spill, depth: int = 0) -> Iterator[np.
         order = lms[np.argsort(names)]
     else:
         order = lms[np.concatenate(list(sorted_suffixes(names, spill, depth + 1)))[::-1]]
-    histogram = np.bincount(t)
+    passes = [None, None]
+    top = len(histogram := np.bincount(t)) - 1
+    if with_prefixes:
+        compared = np.concatenate([t.astype(np.uint16), np.zeros(PAD, np.uint16)])
+        shared = np.concatenate([np.zeros(1, np.uint8), common_prefixes(compared, order[:-1], order[1:])])
+        order = order | (shared.astype(np.int64) << SHIFT)
+        passes[0] = Prefixes(t, compared)
     ascending = f"{depth}L"
     n_runs = 0
-    for batch in _induce(t, ~s, iter([order]), histogram, spill, f"{depth}l"):
-        spill.push((ascending, n_runs), batch[~s[batch]])
+    for batch in _induce(t, ~s, iter([order]), histogram, spill, f"{depth}l", passes[0]):
+        spill.push((ascending, n_runs), batch[~s[batch & LOW]])
         n_runs += 1
-    top = len(histogram) - 1
-    falling = (spill.pop((ascending, k))[::-1] for k in range(n_runs - 1, -1, -1))
-    yield from _induce(top - t, s, (x for x in falling if len(x)), histogram[::-1], spill, f"{depth}s")
+
+    def falling() -> Iterator[np.ndarray]:
+        for k in range(n_runs - 1, -1, -1):
+            run = spill.pop((ascending, k))
+            if len(run):
+                yield (run[::-1] & LOW) | (_reversed_shared((run >> SHIFT).astype(np.uint8)).astype(np.int64) << SHIFT)
+
+    passes[0] = None
+    if with_prefixes:
+        passes[1] = Prefixes(top - t, compared)
+    yield from _induce(top - t, s, falling(), histogram[::-1], spill, f"{depth}s", passes[1])
     yield np.array([len(t) - 1])

@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsense.llm.anchors import pieces
-from logsense.llm.induced import Spill, sorted_suffixes
+from logsense.llm.induced import CAP, LOW, SHIFT, Spill, sorted_suffixes
 from logsense.llm.storage import open_store
 from logsense.llm.texts import batches_of
 from logsense.session import materialize, shared_dir
 
 #: Bytes of text per bucket of pieces, and bytes of pieces per suffix sort, for choosing their numbers.
-BUCKET_BYTES, SHARD_BYTES = 32 << 20, 4 << 20
+BUCKET_BYTES, SHARD_BYTES = 16 << 20, 4 << 20
 #: The id of rows without one while they are processed: before all others.
 NO_ID = -(1 << 63)
 _U64 = np.uint64
@@ -89,7 +89,7 @@ def _cut(texts: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # large batches, as equal pieces are kept once per batch
-        for docs, keys, texts in batches_of(batches, "doc", "text_key", "text", rows=10000):
+        for docs, keys, texts in batches_of(batches, "doc", "text_key", "text", rows=4096):
             cut = [pieces(text, length) for text in texts]
             sizes = [len(c) for c in cut]
             if not sum(sizes):
@@ -152,20 +152,6 @@ def _piece_bytes(texts: DataFrame, mixed: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _same_as_before(eights: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """True where the window at a place equals the window at the place before it in the list.
-
-    ``eights``: a view of the eight bytes from each place on.
-    """
-    same = np.zeros(len(places), bool)
-    alive = np.arange(1, len(places))
-    for at in (*range(0, length - 7, 8), length - 8):
-        x, y = (eights[places[k] + at].view(_U64).ravel() for k in (alive, alive - 1))
-        alive = alive[x == y]
-    same[alive] = True
-    return same
-
-
 def _sort_shard(table: pa.Table, length: int, folder: str) -> pa.Table:
     """The repeated windows of one shard's pieces, as runs (doc, text_key, start, n)."""
     docs, keys, starts = (table.column(c).to_numpy() for c in ("doc", "text_key", "start"))
@@ -180,20 +166,17 @@ def _sort_shard(table: pa.Table, length: int, folder: str) -> pa.Table:
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     offset = np.arange(len(raw), dtype=np.int32) - begins.astype(np.int32)[owner]
     window[:-1] = offset + length <= sizes[owner]
-    eights = np.lib.stride_tricks.sliding_window_view(np.append(raw, np.zeros(8, np.uint8)), 8)
     store, root = open_store(folder)
-    spill, repeated, last = Spill(store, root), np.zeros(len(raw), bool), np.empty(0, np.int64)
+    spill, repeated = Spill(store, root), np.zeros(len(raw), bool)
     try:
-        for batch in sorted_suffixes(symbols, spill):
-            # a string may go on in the next batch: its places are kept back
-            places = np.concatenate([last, batch[window[batch]]])
-            if not len(places):
-                continue
-            group = np.cumsum(~_same_as_before(eights, places, length)) - 1
-            done = group < group[-1]
-            _mark(repeated, places[done], group[done], docs, starts, owner, offset)
-            last = places[~done]
-        _mark(repeated, last, np.zeros(len(last), np.int64), docs, starts, owner, offset)
+        for batch in sorted_suffixes(symbols, spill, with_prefixes=True):
+            places = batch & LOW
+            at = np.flatnonzero(window[places])
+            if len(at):
+                # the prefix that neighbouring windows share is the least on the way from one to the next
+                shared = np.minimum.reduceat(batch[: at[-1] + 1] >> SHIFT, at[:-1] + 1)
+                group = np.concatenate([[0], np.cumsum(shared < length)])
+                _mark(repeated, places[at], group, docs, starts, owner, offset)
     finally:
         spill.close()
     edge = np.diff(np.concatenate([[0], repeated.view(np.int8), [0]]))
@@ -221,8 +204,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     ``doc`` is the id, or the least long for rows without one.
     """
-    if length < 64 + 8:
-        raise ValueError("the anchors need windows of at least 72 bytes")
+    if not 72 <= length <= CAP:
+        raise ValueError(f"windows of 72 to {CAP} bytes are needed")
     texts = slim_texts(docs, id_col, text_col).withColumn("text_key", text_key())
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cut = _cut(texts, length, max(1, size // BUCKET_BYTES))

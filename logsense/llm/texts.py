@@ -78,7 +78,9 @@ def shingle_hashes(word_hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def batches_of(batches: Iterator, *columns: str) -> Iterator[tuple[list, ...]]:
-    """The columns of Arrow batches as Python lists."""
+def batches_of(batches: Iterator, *columns: str, rows: int = 2048) -> Iterator[tuple[list, ...]]:
+    """The columns of Arrow batches as Python lists, so many rows at a time."""
     for batch in batches:
-        yield tuple(batch.column(c).to_pylist() for c in columns)
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield tuple(part.column(c).to_pylist() for c in columns)

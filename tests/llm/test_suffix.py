@@ -39,7 +39,8 @@ def shared_texts(seed):
             cut = rng.randint(0, len(p) // 3)
             parts += [p[cut : len(p) - rng.randint(0, len(p) // 3)], " ".join(prose(rng.randint(0, 10**6), rng.randint(0, 20)))]
         texts.append(" ".join(parts))
-    return texts + [texts[3], texts[3], texts[5] + "tail", "x" + texts[7]]
+    zeros = "a\0b" * 60
+    return texts + [texts[3], texts[3], texts[5] + "tail", "x" + texts[7], zeros, "c" + zeros, "\0" * 250]
 
 
 @pytest.mark.parametrize("batch, depth, limit", [(1, 0, 0), (3, 1, 64), (1000, 12, 10**9)])
@@ -57,6 +58,23 @@ def test_induced_order_is_the_suffix_order(tmp_path, monkeypatch, batch, depth,
     assert list(tmp_path.iterdir()) == []
 
 
+@pytest.mark.parametrize("batch, depth", [(1, 0), (3, 1), (1000, 12)])
+def test_induced_prefixes(monkeypatch, batch, depth):
+    monkeypatch.setattr(induced, "BATCH", batch)
+    monkeypatch.setattr(induced, "DEPTH", depth)
+    rng = random.Random(batch + 7)
+    for k in range(200):
+        text = [rng.randint(1, rng.choice([1, 2, 3, 30])) for _ in range(rng.randint(1, 50))]
+        text = (text[: len(text) // 4 + 1] * 5 if k % 3 == 0 else text) + [0]
+        batches = list(induced.sorted_suffixes(np.array(text, np.int32), induced.Spill(), with_prefixes=True))
+        order = [int(x) & induced.LOW for b in batches for x in b]
+        shared = [int(x) >> induced.SHIFT for b in batches for x in b]
+        assert order == sorted(range(len(text)), key=lambda i: text[i:])[::-1]
+        for i in range(1, len(order)):
+            a, b = text[order[i - 1] :], text[order[i] :]
+            assert shared[i] == next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
 def test_equal_windows_have_equal_anchors():
     shared = " ".join(prose(3, 60)).encode()
     anchors = []
