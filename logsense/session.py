@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark removes the shuffle files of a finished query; those of a stored table serve nothing any more.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def local_session(cpus: int | str = "*", app: str = "logsense") -> SparkSession:
     """A single-JVM session for tests and benchmarks; a cluster brings its own session."""
     partitions = "8" if cpus == "*" else str(cpus)
@@ -47,7 +51,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def materialize(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; a table already stored here is returned.
 
-    Survives the loss of any executor, cuts the lineage, and gives later joins the real size.
+    Survives the loss of any executor, cuts the lineage, and gives later joins the real size. The shuffle files
+    of the query that made it go at once, not when the driver happens to collect its garbage.
     """
     if getattr(df, "_logsense_stored", False) and not partition_by:
         return df
@@ -56,7 +61,12 @@ def materialize(df: DataFrame, label: str = "table", partition_by: tuple[str, ..
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._logsense_stored = True
     return stored
