@@ -1,4 +1,4 @@
-"""Benchmark items in texts, re-parameterised ones too: template windows and consistent slots."""
+"""Benchmark items in texts, verbatim or re-parameterised: bare and template windows, consistent slots."""
 
 from __future__ import annotations
 
@@ -23,16 +23,15 @@ BROADCAST_WINDOWS = 1_000_000
 _NAME, _UNIT = "\u0001", "\u0002"
 
 
-def marked_tokens(text: Column, names: bool = True) -> Column:
+def marked_tokens(text: Column) -> Column:
     """Lower-case tokens; names carry the mark U+0001 and units after a number U+0002, numbers start with a digit.
 
-    A name is a capitalised word after a word or comma, not at the start of a sentence.
+    A name is a capitalised word after a word or comma and a blank or line break, not at the start of a sentence.
     """
     text = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001\u0002]", " ")
     text = F.regexp_replace(text, r"(?<=[0-9])[.,](?=[0-9])", "")
     text = F.regexp_replace(text, rf"(?i)(?<=[0-9]) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
-    if names:
-        text = F.regexp_replace(text, r"(?<=[\p{L}0-9,;] )(?=\p{Lu}\p{Ll})", _NAME)
+    text = F.regexp_replace(text, r"(?<=[\p{L}0-9,;](?: |\r?\n))(?=\p{Lu}\p{Ll})", _NAME)
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}\x01\x02]+"), "")
 
 
@@ -41,20 +40,34 @@ def _kind(token: Column) -> Column:
     return F.when(first.between(48, 57), "<num>").when(first == 1, "<name>").when(first == 2, "<unit>")
 
 
+def _bare(token: Column) -> Column:
+    """A token without its mark."""
+    return F.translate(token, _NAME + _UNIT, "")
+
+
 def _token_hashes() -> Column:
-    return F.transform("tok", lambda x: F.xxhash64(F.coalesce(_kind(x), x)))
+    """Per token three hashes: with all placeholders, with names as plain words, and of the bare token."""
+
+    def hashes(x: Column) -> Column:
+        kind, bare = _kind(x), _bare(x)
+        return F.struct(
+            F.xxhash64(F.coalesce(kind, x)).alias("named"), F.xxhash64(F.when(kind != "<name>", kind).otherwise(bare)).alias("plain"),
+            F.xxhash64(bare).alias("raw"),
+        )
+
+    return F.transform("tok", hashes)
 
 
-def _window_key() -> Column:
-    return F.xxhash64(*[F.get("th", F.col("at") + k) for k in range(WINDOW)])
+def _window_key(form: str, width: int = WINDOW) -> Column:
+    tokens = [F.get("th", F.col("at") + k)[form] for k in range(width)]
+    return F.xxhash64(*([] if width == WINDOW else [F.lit(width)]), *tokens)
 
 
-def _windows(texts: DataFrame, key: str) -> DataFrame:
-    """(key, tok, at, window): a row for each template window of a text with enough tokens."""
-    hashed = texts.select(key, "tok", _token_hashes().alias("th"))
-    starts = F.when(F.size("th") >= WINDOW, F.sequence(F.lit(0), F.size("th") - WINDOW))
-    placed = hashed.select(key, "tok", "th", F.explode(starts).alias("at"))
-    return placed.select(key, "tok", "at", _window_key().alias("window"))
+def _places(texts: DataFrame, *keys: str, least: int = WINDOW) -> DataFrame:
+    """(keys, tok, th, at): a row for each place of a text with ``least`` tokens from there."""
+    hashed = texts.select(*keys, "tok", _token_hashes().alias("th"))
+    starts = F.when(F.size("th") >= least, F.sequence(F.lit(0), F.size("th") - least))
+    return hashed.select(*keys, "tok", "th", F.explode(starts).alias("at"))
 
 
 def _slots(tok: str, at: str) -> Column:
@@ -63,22 +76,55 @@ def _slots(tok: str, at: str) -> Column:
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item_id, n_windows, item_at, window, item_slots) of windows with enough words.
+    """(item_id, item_key, n_windows, n_all, item_at, width, window, typed, template, item_slots) of the windows of all items.
 
-    Each item is taken twice, with names as placeholders and as plain words: a document in one case has
-    no names to be seen.
+    Each place is taken as bare tokens and, where enough words are left, with names as placeholders and as plain words:
+    a document in one case has no names to be seen. ``typed``: one of the latter two is there (``template``: it is this
+    window); ``n_windows`` counts these places and ``n_all`` all. An item of fewer tokens than a window is one window of bare tokens.
     """
-    items = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null")
-    forms = [_windows(items.select("item_id", marked_tokens(F.col("text"), names).alias("tok")), "item_id") for names in (True, False)]
-    both = forms[0].unionByName(forms[1])
-    literal = F.size(F.filter(_slots("tok", "at"), lambda x: x.isNull()))
-    # ids may repeat: a window is named by its item, place and hash
-    found = both.where(literal >= LITERALS).select("item_id", F.col("at").alias("item_at"), "window", _slots("tok", "at").alias("item_slots"))
-    found = found.dropDuplicates(["item_id", "item_at", "window"])
-    sizes = found.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_windows"))
+    items = benchmark.select(F.col(id_col).alias("item_id"), marked_tokens(F.col(text_col)).alias("tok")).where("item_id is not null")
+    items = items.withColumn("item_key", F.xxhash64("tok"))
+    kinds = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), _kind)
+    words = F.size(F.filter(kinds, lambda x: x.isNull()))
+    words_and_names = F.size(F.filter(kinds, lambda x: x.isNull() | (x == "<name>")))
+    templates = F.array(F.when(words >= LITERALS, _window_key("named")), F.when(words_and_names >= LITERALS, _window_key("plain")))
+    templates = F.array_compact(templates)
+    forms = F.array_distinct(F.concat(templates, F.array(_window_key("raw"))))
+    long = _places(items, "item_id", "item_key").select(
+        "item_id", "item_key", F.col("at").alias("item_at"), F.lit(WINDOW).alias("width"), (words_and_names >= LITERALS).alias("typed"),
+        _slots("tok", "at").alias("item_slots"), templates.alias("templates"), F.explode(forms).alias("window"),
+    )
+    long = long.withColumn("template", F.array_contains("templates", F.col("window"))).drop("templates")
+    width = F.size("tok")
+    short = items.where(width.between(1, WINDOW - 1)).select("item_id", "item_key", "tok", _token_hashes().alias("th"), F.lit(0).alias("at"))
+    key = F.coalesce(*[F.when(width == k, _window_key("raw", k)) for k in range(1, WINDOW)])
+    short = short.select(
+        "item_id", "item_key", F.col("at").alias("item_at"), width.alias("width"), F.lit(False).alias("typed"),
+        F.array().cast("array<string>").alias("item_slots"), key.alias("window"), F.lit(False).alias("template"),
+    )
+    # ids may repeat: a window is named by its item, text, place and hash
+    found = long.unionByName(short).dropDuplicates(["item_id", "item_key", "item_at", "window"])
+    sizes = found.groupBy("item_id").agg(
+        F.count_distinct(F.when(F.col("typed"), F.col("item_at"))).alias("n_windows"), F.count_distinct("item_at").alias("n_all")
+    )
     return found.join(sizes, "item_id")
 
 
+def _document_windows(docs: DataFrame, short: list[int]) -> DataFrame:
+    """(doc_id, row, tok, at, form, window): every window of a text in its three forms, and bare ones of the ``short`` widths.
+
+    ``form`` is 0 for the window with all placeholders, which then stands for equal ones too.
+    """
+    keyed = docs.withColumn("row", F.xxhash64("tok"))
+    placed = _places(keyed, "doc_id", "row", least=min([WINDOW, *short]))
+    none = F.array().cast("array<bigint>")
+    left = F.size("th") - F.col("at")
+    forms = F.array(*[_window_key(form) for form in ("named", "plain", "raw")])
+    parts = [F.when(left >= WINDOW, forms).otherwise(none) if short else forms]
+    parts += [F.when(left >= k, F.array(_window_key("raw", k))).otherwise(none) for k in short]
+    return placed.select("doc_id", "row", "tok", "at", F.posexplode(F.array_distinct(F.concat(*parts))).alias("form", "window"))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
     item_text_col: str = "text",
@@ -86,36 +132,56 @@ def contaminated(
     """(doc_id, item_id, n_matched, n_windows, slots_changed): the benchmark items that documents hold.
 
     Texts become templates: numbers, units after numbers and names inside sentences are typed placeholders.
-    Windows of five template tokens, three of them words, meet in a hash join. Windows of one pair that
-    line up (same distance of places) form an occurrence. It counts if its slots are consistent: equal values of
-    the item stand for equal values of the document. An item is found if at least half of its windows
-    are in consistent occurrences, or one occurrence has nine. ``slots_changed``: some value differs, so the
-    item was re-parameterised.
-
-    Items without such windows (fewer than five tokens, or placeholders alone), null or empty texts and items
+    Windows of five template tokens, three of them words, meet in a hash join, and so do all windows of bare tokens,
+    so that a verbatim copy is found whatever its tokens are. Windows of one pair of texts that line up (same distance of
+    places) form an occurrence. In it equal values of the item must stand for equal values of the document; windows
+    over a value that stands for several do not count. An item is found if at least half of its windows with three words
+    or half of all its windows are in occurrences, or one occurrence has nine. ``n_matched`` and ``n_windows`` count
+    the first of these that suffice: windows with three words met by those with all placeholders, met in any form, all. ``slots_changed``: some value differs, so the item was re-parameterised.
+
+    An item of fewer than five tokens is one window of bare tokens. Null or empty texts and items
     without an id are never found; documents without an id are reported with a null id, as one. Rows that share
-    an id are taken together. Empty tables give an empty result; other columns are not read.
+    an id are reported together, but each is aligned on its own. Empty tables give an empty result; other columns are
+    not read.
     """
     items = materialize(item_windows(benchmark, item_id_col, item_text_col), "item-windows")
-    small = items.count() <= BROADCAST_WINDOWS
+    widths = {r["width"]: r["count"] for r in items.groupBy("width").count().collect()}
+    small = sum(widths.values()) <= BROADCAST_WINDOWS
     slim = docs.select(F.col(id_col).alias("doc_id"), marked_tokens(F.col(text_col)).alias("tok"))
-    met = _windows(slim, "doc_id").join(F.broadcast(items) if small else items, "window")
-    pairs = F.arrays_zip("item_slots", _slots("tok", "at").alias("doc_slots"))
+    windows = _document_windows(slim, sorted(k for k in widths if k < WINDOW))
+    met = windows.join(F.broadcast(items) if small else items, "window")
+    doc_tokens = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), _bare)
+    pairs = F.filter(F.arrays_zip("item_slots", doc_tokens.alias("doc_slots")), lambda x: x["item_slots"].isNotNull())
+    place = ["doc_id", "row", "item_id", "item_key", "n_windows", "n_all"]
+    template = ((F.col("form") == 0) & F.col("template")).alias("template")
     hits = met.select(
-        "doc_id", "item_id", "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("distance"),
-        F.filter(pairs, lambda x: x["item_slots"].isNotNull()).alias("pairs"),
+        *place, (F.col("at") - F.col("item_at")).alias("distance"), F.struct("item_at", "typed", template, pairs.alias("pairs")).alias("hit")
     )
-    lined_up = hits.groupBy("doc_id", "item_id", "n_windows", "distance").agg(
-        F.collect_set("item_at").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
+    lined_up = hits.groupBy(*place, "distance").agg(F.collect_set("hit").alias("hits"))
+    values = F.array_distinct(F.flatten(F.transform("hits", lambda x: x["pairs"])))
+    lined_up = lined_up.withColumn("values", F.array_sort(F.transform(values, lambda x: x["item_slots"])))
+    # a value is listed once for each value that it stands for
+    lined_up = lined_up.withColumn("several", F.filter("values", lambda x, k: (k > 0) & (x == F.get("values", k - 1))))
+    counted = F.filter("hits", lambda x: ~F.exists(x["pairs"], lambda p: F.array_contains("several", p["item_slots"])))
+    changed = F.exists("hits", lambda x: F.exists(x["pairs"], lambda p: _bare(p["item_slots"]) != p["doc_slots"]))
+    ats = lambda hits: F.array_distinct(F.transform(hits, lambda x: x["item_at"]))
+    consistent = lined_up.withColumn("hits", counted).where(F.size("hits") > 0).select(
+        "doc_id", "item_id", "n_windows", "n_all", changed.alias("changed"), ats("hits").alias("all"),
+        *[ats(F.filter("hits", lambda x: x[kind])).alias(kind) for kind in ("template", "typed")],  # noqa: B023
     )
-    values = F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
-    changed = F.exists("pairs", lambda x: x["item_slots"] != x["doc_slots"])
-    consistent = lined_up.where(values == F.size("pairs")).select(
-        "doc_id", "item_id", "n_windows", "places", changed.alias("changed")
+    count = lambda places: F.size(F.array_distinct(F.flatten(F.collect_list(places)))).cast("long")
+    kinds = ("template", "typed", "all")
+    found = consistent.groupBy("doc_id", "item_id", "n_windows", "n_all").agg(
+        F.max("changed").alias("slots_changed"), *[count(kind).alias(f"n_{kind}_found") for kind in kinds],
+        *[F.max(F.size(kind)).alias(f"longest_{kind}") for kind in kinds],
     )
-    found = consistent.groupBy("doc_id", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
-        F.max(F.size("places")).alias("longest"), F.max("changed").alias("slots_changed"),
+
+    def enough(kind: str, of: str) -> Column:
+        matched = F.col(f"n_{kind}_found")
+        return (matched > 0) & ((matched >= COVERAGE * F.col(of)) | (F.col(f"longest_{kind}") >= RUN))
+
+    rules = [(kind, of, enough(kind, of)) for kind, of in zip(kinds, ("n_windows", "n_windows", "n_all"))]
+    return found.where(rules[0][2] | rules[1][2] | rules[2][2]).select(
+        "doc_id", "item_id", F.coalesce(*[F.when(met, F.col(f"n_{kind}_found")) for kind, _, met in rules]).alias("n_matched"),
+        F.coalesce(*[F.when(met, F.col(of)) for _, of, met in rules]).alias("n_windows"), "slots_changed",
     )
-    enough = (F.col("n_matched") >= COVERAGE * F.col("n_windows")) | (F.col("longest") >= RUN)
-    return found.where(enough).select("doc_id", "item_id", "n_matched", "n_windows", "slots_changed")

@@ -68,3 +68,37 @@ def test_large_benchmarks_are_shuffled(spark, make_docs, monkeypatch):
     small = sorted(map(tuple, contaminated(docs, items(spark)).collect()))
     monkeypatch.setattr(module, "BROADCAST_WINDOWS", 0)
     assert sorted(map(tuple, contaminated(docs, items(spark)).collect())) == small and len(small) == 2
+
+
+def test_verbatim_copies_of_any_tokens_are_found(spark, make_docs):
+    texts = {
+        1: "What is 12 + 34 * 5 - 6?",
+        2: "The Quick Brown Fox Jumps Over The Lazy Dog Every Day",
+        3: "Red green",
+        4: "then the old man told Alice and Bob that the ferry would leave at dawn",
+        5: "1 2 3 4 5 6 7 8 9",
+    }
+    bench = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    docs = make_docs([
+        (1, f"{FILL}. {texts[1]} {FILL}"), (2, f"{FILL}. {texts[2]} {FILL}"), (3, "so " + texts[2].lower()), (4, "x red GREEN y"),
+        (5, texts[4].replace("Alice", "\nAlice")), (6, texts[4].replace(" Alice and", "\nZoe and")), (7, f"{FILL}, {texts[5]}"),
+        (8, "What is 13 + 35 * 7 - 8?"), (9, "green red"), (10, ""), (11, "red"),
+        (12, f"{FILL} {texts[2]}".replace("Every", "Some")),
+    ])
+    got = {(r["doc_id"], r["item_id"], r["slots_changed"]) for r in contaminated(docs, bench).collect()}
+    assert got == {
+        (1, 1, False), (2, 2, False), (3, 2, False), (4, 3, False), (5, 4, False), (6, 4, True), (7, 5, False), (12, 2, False),
+    }
+
+
+def test_one_changed_value_does_not_hide_the_rest(spark, make_docs):
+    """The last 12 differs from the first: windows over it do not count, all others do."""
+    bench = spark.createDataFrame([(1, f"we saw 12 birds {PROSE} then 12 more")], "item_id long, text string")
+    docs = make_docs([(1, f"we saw 12 birds {PROSE} then 13 more")])
+    (row,) = contaminated(docs, bench).collect()
+    assert 2 * row["n_matched"] > row["n_windows"] > row["n_matched"] and not row["slots_changed"]
+
+
+def test_rows_of_one_id_do_not_spoil_each_other(spark, make_docs):
+    docs = make_docs([(None, SUM), (None, SUM.replace("Alice", "Zoe")), (7, SUM.replace("Bob", "Max")), (7, SUM)])
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items(spark)).collect()} == {(None, 1), (7, 1)}
