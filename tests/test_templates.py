@@ -186,3 +186,30 @@ def test_a_miner_that_merges_nothing_is_caught(spark):
     assert {(r.fits, r.apart) for r in _fit_of(same).collect()} == {(True, True), (True, False)}
     blank = spark.createDataFrame([(t, 1, "<*> <*> <*> <*> <*>") for t in texts], "message string, n bigint, template string")
     assert {(r.fits, r.firm) for r in _fit_of(blank).collect()} == {(True, False)}
+
+
+def test_unlike_messages_of_one_route_meet_in_small_groups(spark, monkeypatch):
+    """2000 templates share their routed tokens, and all a common tail; similar pairs still meet."""
+    monkeypatch.setattr(mining, "BUCKET_ROWS", 64)
+    letters = lambda k: "".join(chr(97 + int(d)) for d in str(k))
+    rows = []
+    for k in range(1000):
+        words = [f"w{letters(k * 10 + p)}" for p in range(5)]
+        rows += [(9, " go on", " ".join(["go", "on", *words, end, "done"]), 2) for end in ("left", "right")]
+    df = spark.createDataFrame(rows, "n_tokens int, route_key string, template string, n bigint")
+    named = mining.materialize(df.select("*", *mining.wide_hash("id", mining.F.col("template"))), "named")
+    groups = mining._meetings(named, 0.65, True).groupBy("key").count()
+    assert groups.agg({"count": "max"}).first()[0] <= 2 * 64
+    assert mining.similar_pairs(named, 0.65).count() == 1000
+
+
+def test_blocks_of_a_large_group_lose_no_pair(spark, monkeypatch):
+    """Few distinct words: every key is shared by many, so groups are split in stretches and blocks."""
+    monkeypatch.setattr(mining, "BUCKET_ROWS", 16)
+    rng = random.Random(9)
+    texts = sorted({" ".join(rng.choice(["a", "b", "c", "<*>"]) for _ in range(7)) for _ in range(300)})
+    weights = [rng.randint(1, 9) for _ in texts]
+    df = spark.createDataFrame([(7, "r", t, n) for t, n in zip(texts, weights)], "n_tokens int, route_key string, template string, n bigint")
+    named = mining.materialize(df.select("*", *mining.wide_hash("id", mining.F.col("template"))), "named")
+    got = {(r.template, r.leader) for r in mining.similar_pairs(named, 0.65).join(named, ["id_a", "id_b"]).collect()}
+    assert got == {(texts[i], texts[j]) for i, j in mining.nearest_leaders(texts, weights, 0.65)}
