@@ -252,9 +252,19 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
 def read_documents(spark: SparkSession, folder: str, manifest: DataFrame, wanted: DataFrame) -> DataFrame:
     """(doc_id, ids) of the wanted doc_ids only; each file's frames of other documents stay compressed.
 
-    ``wanted`` has a doc_id column; files without a wanted document are not opened.
+    ``wanted`` has a doc_id column. Of every file the two tables at its end are read, and only wanted frames besides.
     """
 
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(folder)
+        for (files,) in batches_of(batches, "file"):
+            for file in files:
+                with store.open_input_file(f"{root}/{file}") as source:
+                    found = FrameFile(source).names
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": pa.array(found, pa.int64()), "file": [file] * len(found), "frame": pa.array(range(len(found)), pa.int32())}
+                )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
         for files, frame_lists in batches_of(batches, "file", "frames"):
@@ -268,7 +278,8 @@ def read_documents(spark: SparkSession, folder: str, manifest: DataFrame, wanted
                         }
                     )
 
-    where = read_token_files(manifest, folder).select("doc_id", "file", "frame")
+    spread = manifest.select("file").repartition(spark.sparkContext.defaultParallelism * 4)
+    where = spread.mapInArrow(names, "doc_id long, file string, frame int")
     frames = where.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     # a file's frames are dealt in slices, so that no group holds a whole hot file
     sliced = frames.groupBy("file", (F.col("frame") / 1024).cast("int").alias("slice"))

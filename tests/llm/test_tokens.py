@@ -101,3 +101,21 @@ def test_rows_without_or_with_shared_ids_and_empty_tables(spark, make_docs):
     assert [r[1] for r in got] == [sum(x[2] for x in got[:k]) for k in range(4)]
     folder = scratch_path(spark, "ids")
     assert read_token_files(write_token_files(make_docs([]), folder, PATH), folder).count() == 0
+
+
+def test_frames_of_other_documents_are_not_decompressed(spark, make_docs):
+    folder = scratch_path(spark, "ids")
+    manifest = write_token_files(make_docs([(k, f"word {k}") for k in range(6)]), folder, PATH, end_id=2, files=1)
+    (name,) = (r["file"] for r in manifest.collect())
+    path = f"{folder}/{name}"
+    with open(path, "rb") as source:
+        data = bytearray(source.read())
+    frames = FrameFile(opened(bytes(data)))
+    data[int(frames.starts[3]) : int(frames.starts[4])] = bytes(int(frames.frames[3, 0]))
+    with open(path, "wb") as out:
+        out.write(data)
+    wanted = spark.createDataFrame([(2,), (5,)], "doc_id long")
+    read = {r["doc_id"]: r["ids"] for r in read_documents(spark, folder, manifest, wanted).collect()}
+    assert read == {k: [*plain_ids(f"word {k}"), 2] for k in (2, 5)}
+    with pytest.raises(Exception):
+        read_documents(spark, folder, manifest, spark.createDataFrame([(3,)], "doc_id long")).collect()
