@@ -73,24 +73,25 @@ def _presences(rows: DataFrame, config: KernelConfig) -> DataFrame:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", config: KernelConfig = KernelConfig()) -> KernelModel:
     """Learn from a bounded sample of the rows with a language and a text; each language gets an equal part.
 
-    Rows are chosen by a hash of the text, so the model depends on neither order nor partitions. Only
-    hashed n-grams of the sample come to the driver. Without any such row the model knows no language.
+    Distinct texts of a language are chosen by their hash, each once however many copies it has, so the model
+    depends on neither order nor partitions. Only hashed n-grams of the sample come to the driver. Without any such row the model knows no language.
     """
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("binary").alias("text")).where(
         "lang is not null and octet_length(text) > 0"
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    order = F.xxhash64("text", F.lit(config.seed))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_distinct(order).alias("n")).collect()}
     if not counts:
         return KernelModel((), np.zeros((1 << config.bits, 0), np.float32), np.zeros(0, np.float32), config)
     if len(counts) > config.languages:
         raise ValueError(f"{len(counts)} languages; at most {config.languages} can be learned")
     each = max(1, config.sample_rows // len(counts))
-    order = F.xxhash64("text", F.lit(config.seed))
     part = lambda lang: F.lit(int(min(1.0, each / counts[lang]) * (2**31)))
     limit = F.lit(0)
     for lang in sorted(counts):
         limit = F.when(F.col("lang") == lang, part(lang)).otherwise(limit)
     chosen = rows.withColumn("order", order).where(F.pmod("order", F.lit(2**31)) <= limit)
+    chosen = chosen.groupBy("lang", "order").agg(F.first("text").alias("text"))
     sample = _presences(chosen, config).collect()
     return _solve([(r["lang"], r["order"], np.frombuffer(r["grams"], np.int32)) for r in sample], sorted(counts), each, config)
 

@@ -82,3 +82,13 @@ def test_fit_does_not_depend_on_order(spark):
     docs = labelled(spark, texts(90))
     a, b = fit(docs.repartition(1)), fit(docs.orderBy(F.desc("doc_id")).repartition(5))
     assert np.array_equal(a.weights, b.weights)
+
+
+def test_copies_count_once_in_the_sample(spark, monkeypatch):
+    import logsense.llm.language as module
+
+    taken, solve = [], module._solve
+    monkeypatch.setattr(module, "_solve", lambda sample, *rest: taken.extend(sample) or solve(sample, *rest))
+    rows = [("de", "immer wieder derselbe satz")] * 200 + [(lang, f"{lang} satz nummer {k}") for lang in ("de", "en") for k in range(8)]
+    module.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(x[0] for x in taken) == ["de"] * 9 + ["en"] * 8
