@@ -113,3 +113,12 @@ def test_registration():
 def test_contaminated_stage_equals_operator(spark, make_docs):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     assert contaminated(make_docs([(1, "x " + ITEM)]), bench).count() == 1
+
+
+def test_documents_without_an_own_id_are_decontaminated(spark, make_docs, tmp_path):
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = " ".join(prose(77, 60))
+    docs = make_docs([(None, "x " + ITEM), (None, clean), (None, None), (3, clean), (3, ITEM), (4, ITEM)])
+    out = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in out.collect()) == sorted([("None", clean), ("None", "None"), ("3", clean)])
