@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from logsense.llm.contamination import COVERAGE, LITERALS, RUN, UNITS, WINDOW
 from logsense.llm.licenses import CONTAINMENT, NOTICES, SHINGLE, STEP
+from logsense.llm.merkle import ARITY, FIELDS
 
 _SPACE = r"'[\x20\x09-\x0D]+'"
 
@@ -169,6 +170,95 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id))
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"({_FIELD.format(f)})" for f in (*FIELDS[:-1], text)) + ")"
+
+
+def _siblings(place: str) -> str:
+    """Left and right siblings of the node at ``place`` in the list l, with a bar between."""
+    run = f"{ARITY} * ({place} // {ARITY})"
+    return f"array_to_string(l[{run} + 1 : {place}], '') || '|' || array_to_string(l[{place} + 2 : {run} + {ARITY}], '')"
+
+
+_NEXT_LEVEL = f"list_transform(range((len(l) + {ARITY - 1}) // {ARITY}), lambda i: sha256(array_to_string(l[{ARITY} * i + 1 : {ARITY} * i + {ARITY}], '')))"
+_OP11 = f"""
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT b, 0, b::UBIGINT FROM range(256) AS t(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf, {_leaf("replace(text, chr(10), '')")} AS other,
+         list_reduce(list_transform(range(strlen(doc_id::VARCHAR)), lambda i: ascii((doc_id::VARCHAR)[i + 1])::UBIGINT),
+                     lambda a, x: xor(a >> 8, t[(xor(a, x) & 255)::BIGINT + 1]), 4294967295::UBIGINT) & 1 = 1 AS even
+  FROM documents, crc),
+leaves AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+levels(source, level, l) AS (
+  SELECT source, 0, list(leaf ORDER BY pos) FROM leaves GROUP BY source
+  UNION ALL SELECT source, level + 1, {_NEXT_LEVEL} FROM levels WHERE len(l) > 1),
+subs AS MATERIALIZED (
+  SELECT source, l[1] AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k FROM levels WHERE len(l) = 1),
+tops(level, l) AS (
+  SELECT 0, list(subroot ORDER BY k) FROM subs UNION ALL SELECT level + 1, {_NEXT_LEVEL} FROM tops WHERE len(l) > 1),
+steps AS (
+  SELECT leaves.source, pos, level AS step_no, {_siblings(f'(pos // ({ARITY} ** level)::BIGINT)')} AS s
+  FROM leaves JOIN levels ON leaves.source IS NOT DISTINCT FROM levels.source WHERE len(l) > 1
+  UNION ALL SELECT leaves.source, pos, height + level, {_siblings(f'(k // ({ARITY} ** level)::BIGINT)')}
+  FROM leaves JOIN subs ON leaves.source IS NOT DISTINCT FROM subs.source, tops WHERE len(l) > 1),
+proofs AS (SELECT source, pos, list(s ORDER BY step_no) AS steps FROM steps GROUP BY ALL),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT l[1] FROM tops WHERE len(l) = 1) AS root, coalesce(steps, []) AS steps,
+         CASE WHEN even AND text_differs THEN other ELSE leaf END AS start
+  FROM (SELECT *, other <> leaf AS text_differs FROM leaves) AS leaves JOIN subs ON leaves.source IS NOT DISTINCT FROM subs.source
+  LEFT JOIN proofs ON leaves.source IS NOT DISTINCT FROM proofs.source AND leaves.pos = proofs.pos),
+done AS (
+  SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+         list_reduce(steps, lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2)), start) AS folded_root
+  FROM folded)
+SELECT *, folded_root = root AS verified FROM done
+"""
+
+_OP12 = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(t) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY t)
+"""
+
+_OP13 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {_words("coalesce(text, '')")} AS w,
+         doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS repeated FROM documents),
+known AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT + 4 * (100 * {_count('A-Z')} > 2 * length(t))::INT
+         + 8 * (t <> translate(t, '#$%&*|', ''))::INT + 16 * coalesce(repeated, false)::INT AS mask,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM d LEFT JOIN known USING (doc_id) GROUP BY ALL),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM l AS a, l AS b, l AS c, l AS d, l AS e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT o, step, (1 << (ascii(o[step]) - 65)) AS bit,
+         list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(o[i]) - 65))) AS before
+  FROM orders, range(1, 6) AS r(step)),
+counted AS (
+  SELECT part, o AS filter_order, step::INT AS step, bit, sum(n) FILTER (mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit = 0) AS kept,
+         sum(n) FILTER (mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit > 0) AS removed,
+         sum(n) FILTER (mask & coalesce(before, 0)::BIGINT > 0 AND mask & bit > 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit > 0) AS good_lost,
+         sum(toxic) FILTER (mask & coalesce(before, 0)::BIGINT = 0 AND mask & bit > 0) AS toxic_lost
+  FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _OP1,
     "op3_decontamination": _OP3,
@@ -176,4 +266,7 @@ ORACLE: dict[str, str] = {
     "op6_license_scan": _OP6,
     "op8_byte_shards": _OP8,
     "op9_minhash_dedup": _OP9,
+    "op11_merkle_manifest": _OP11,
+    "op12_exact_dedup": _OP12,
+    "op13_filter_audit": _OP13,
 }

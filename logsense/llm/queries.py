@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from logsense.llm.brown import score_texts
+from logsense.llm.audit import filter_audit
 from logsense.llm.contamination import contaminated
+from logsense.llm.exact import exact_duplicates
 from logsense.llm.language import fit, predict
 from logsense.llm.licenses import scan
+from logsense.llm.merkle import merkle_proofs
 from logsense.llm.minhash import MinHash, near_duplicates
 from logsense.llm.packing import pack
 from logsense.llm.quality import judge
@@ -64,10 +67,23 @@ def op10_token_files(spark, sf_dir):
     return read_token_files(manifest, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle_proofs(read_table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark, sf_dir):
+    return exact_duplicates(spark, f"{sf_dir}/documents.parquet").drop("file", "row")
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_best_fit_packing, op3_decontamination, op4_suffix_dedup, op5_language_id, op6_license_scan,
         op7_brown_model, op8_byte_shards, op9_minhash_dedup, op10_token_files,
+        op11_merkle_manifest, op12_exact_dedup, op13_filter_audit,
     )
 }
