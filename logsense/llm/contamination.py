@@ -45,29 +45,25 @@ def _bare(token: Column) -> Column:
     return F.translate(token, _NAME + _UNIT, "")
 
 
-def _token_hashes() -> Column:
-    """Per token three hashes: with all placeholders, with names as plain words, and of the bare token."""
-
-    def hashes(x: Column) -> Column:
-        kind, bare = _kind(x), _bare(x)
-        return F.struct(
-            F.xxhash64(F.coalesce(kind, x)).alias("named"), F.xxhash64(F.when(kind != "<name>", kind).otherwise(bare)).alias("plain"),
-            F.xxhash64(bare).alias("raw"),
-        )
-
-    return F.transform("tok", hashes)
+def _special(token: Column) -> Column:
+    """Whether a token is a placeholder: of all first characters only digits and the marks come before the colon."""
+    return token < ":"
 
 
 def _window_key(form: str, width: int = WINDOW) -> Column:
-    tokens = [F.get("th", F.col("at") + k)[form] for k in range(width)]
-    return F.xxhash64(*([] if width == WINDOW else [F.lit(width)]), *tokens)
+    """Hash of the tokens from ``at`` on: with all placeholders, with names as plain words, or bare."""
+    values = []
+    for k in range(width):
+        x = F.get("tok", F.col("at") + k)
+        special = {"named": _kind(x), "plain": F.when(x < "\u0002", _bare(x)).otherwise(_kind(x)), "raw": _bare(x), "words": x}[form]
+        values.append(x if form == "words" else F.when(_special(x), special).otherwise(x))
+    return F.xxhash64(*([] if width == WINDOW else [F.lit(width)]), *values)
 
 
 def _places(texts: DataFrame, *keys: str, least: int = WINDOW) -> DataFrame:
-    """(keys, tok, th, at): a row for each place of a text with ``least`` tokens from there."""
-    hashed = texts.select(*keys, "tok", _token_hashes().alias("th"))
-    starts = F.when(F.size("th") >= least, F.sequence(F.lit(0), F.size("th") - least))
-    return hashed.select(*keys, "tok", "th", F.explode(starts).alias("at"))
+    """(keys, tok, at): a row for each place of a text with ``least`` tokens from there."""
+    starts = F.when(F.size("tok") >= least, F.sequence(F.lit(0), F.size("tok") - least))
+    return texts.select(*keys, "tok", F.explode(starts).alias("at"))
 
 
 def _slots(tok: str, at: str) -> Column:
@@ -96,7 +92,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     )
     long = long.withColumn("template", F.array_contains("templates", F.col("window"))).drop("templates")
     width = F.size("tok")
-    short = items.where(width.between(1, WINDOW - 1)).select("item_id", "item_key", "tok", _token_hashes().alias("th"), F.lit(0).alias("at"))
+    short = items.where(width.between(1, WINDOW - 1)).select("item_id", "item_key", "tok", F.lit(0).alias("at"))
     key = F.coalesce(*[F.when(width == k, _window_key("raw", k)) for k in range(1, WINDOW)])
     short = short.select(
         "item_id", "item_key", F.col("at").alias("item_at"), width.alias("width"), F.lit(False).alias("typed"),
@@ -111,18 +107,27 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
 
 
 def _document_windows(docs: DataFrame, short: list[int]) -> DataFrame:
-    """(doc_id, row, tok, at, form, window): every window of a text in its three forms, and bare ones of the ``short`` widths.
+    """(doc_id, row, at, form, window, doc_slots): every window of a text in its forms, and bare ones of the ``short`` widths.
 
-    ``form`` is 0 for the window with all placeholders, which then stands for equal ones too.
+    ``form`` is 0 for the window with all placeholders; where there are none it is the only one. ``doc_slots`` holds
+    the bare tokens of placeholders and null for words, or is null without placeholders. So no row carries more
+    of its text than its window, and none of it is made before the join when the benchmark is broadcast.
     """
     keyed = docs.withColumn("row", F.xxhash64("tok"))
     placed = _places(keyed, "doc_id", "row", least=min([WINDOW, *short]))
-    none = F.array().cast("array<bigint>")
-    left = F.size("th") - F.col("at")
-    forms = F.array(*[_window_key(form) for form in ("named", "plain", "raw")])
-    parts = [F.when(left >= WINDOW, forms).otherwise(none) if short else forms]
-    parts += [F.when(left >= k, F.array(_window_key("raw", k))).otherwise(none) for k in short]
-    return placed.select("doc_id", "row", "tok", "at", F.posexplode(F.array_distinct(F.concat(*parts))).alias("form", "window"))
+    tokens = [F.get("tok", F.col("at") + k) for k in range(WINDOW)]
+    special = F.lit(False)
+    for x in tokens:
+        special = special | F.coalesce(_special(x), F.lit(False))
+    left = F.size("tok") - F.col("at")
+    slots = F.when(special, F.array(*[F.when(_special(x), _bare(x)) for x in tokens])).alias("doc_slots")
+    words = F.array(_window_key("words"))
+    forms = F.when(special, F.array(*[_window_key(form) for form in ("named", "plain", "raw")])).otherwise(words)
+    if short:
+        none = F.array().cast("array<bigint>")
+        parts = [F.when(left >= WINDOW, forms).otherwise(none)]
+        forms = F.concat(*parts, *[F.when(left >= k, F.array(_window_key("raw", k))).otherwise(none) for k in short])
+    return placed.select("doc_id", "row", "at", F.posexplode(forms).alias("form", "window"), slots)
 
 
 def contaminated(
@@ -150,8 +155,11 @@ def contaminated(
     slim = docs.select(F.col(id_col).alias("doc_id"), marked_tokens(F.col(text_col)).alias("tok"))
     windows = _document_windows(slim, sorted(k for k in widths if k < WINDOW))
     met = windows.join(F.broadcast(items) if small else items, "window")
-    doc_tokens = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), _bare)
-    pairs = F.filter(F.arrays_zip("item_slots", doc_tokens.alias("doc_slots")), lambda x: x["item_slots"].isNotNull())
+    # a value of the item over a plain word of the document is that word
+    values = F.transform("item_slots", lambda x, k: F.struct(
+        x.alias("item_slots"), F.coalesce(F.get("doc_slots", k), _bare(x)).alias("doc_slots")
+    ))
+    pairs = F.filter(values, lambda x: x["item_slots"].isNotNull())
     place = ["doc_id", "row", "item_id", "item_key", "n_windows", "n_all"]
     template = ((F.col("form") == 0) & F.col("template")).alias("template")
     hits = met.select(

@@ -41,54 +41,81 @@ FROM failed
 """
 
 
-def _marked(text: str, names: bool) -> str:
+def _marked(text: str) -> str:
     """As ``marked_tokens``; without lookaround a replacement runs twice, for matches that share a character."""
     units = "|".join(UNITS)
     t = f"regexp_replace(coalesce({text}, ''), '[\\x01\\x02]', ' ', 'g')"
     for _ in range(2):
         t = f"regexp_replace({t}, '([0-9])[.,]([0-9])', '\\1\\2', 'g')"
     t = f"regexp_replace({t}, '(?i)([0-9]) ?({units})([^\\pL\\pN]|$)', '\\1 ' || chr(2) || '\\2\\3', 'g')"
-    if names:
-        for _ in range(2):
-            t = f"regexp_replace({t}, '([\\pL0-9,;] )(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(1) || '\\2', 'g')"
+    for _ in range(2):
+        t = f"regexp_replace({t}, '([\\pL0-9,;](?: |\\r?\\n))(\\p{{Lu}}\\p{{Ll}})', '\\1' || chr(1) || '\\2', 'g')"
     return f"list_filter(string_split_regex(lower({t}), '[^\\pL\\pN\\x01\\x02]+'), lambda x: x <> '')"
 
 
 _KIND = "CASE WHEN x[1] BETWEEN '0' AND '9' THEN '<num>' WHEN x[1] = chr(1) THEN '<name>' WHEN x[1] = chr(2) THEN '<unit>' END"
+_BARE = "translate(x, chr(1) || chr(2), '')"
+#: A window with all placeholders, with names as plain words, and bare.
+_FORMS = ", ".join(
+    f"array_to_string(list_transform(w, lambda x: {x}), ' ')"
+    for x in (f"coalesce({_KIND}, x)", f"CASE WHEN x[1] = chr(1) THEN {_BARE} ELSE coalesce({_KIND}, x) END", _BARE)
+)
 _OP3 = f"""
-WITH items AS (
-  SELECT item_id, {_marked('text', True)} AS tok FROM benchmark
-  UNION ALL SELECT item_id, {_marked('text', False)} FROM benchmark),
-cut AS (SELECT item_id, pos, tok[pos + 1 : pos + {WINDOW}] AS w FROM items, unnest(range(len(tok) - {WINDOW - 1})) AS u(pos)),
-typed AS (SELECT *, list_transform(w, lambda x: {_KIND}) AS kinds FROM cut),
+WITH items AS (SELECT DISTINCT item_id, {_marked('text')} AS tok FROM benchmark WHERE item_id IS NOT NULL),
+cut AS (
+  SELECT item_id, tok AS item_key, pos AS item_at, tok[pos + 1 : pos + {WINDOW}] AS w, {WINDOW} AS width
+  FROM items, unnest(range(len(tok) - {WINDOW - 1})) AS u(pos)
+  UNION ALL SELECT item_id, tok, 0, tok, len(tok) FROM items WHERE len(tok) BETWEEN 1 AND {WINDOW - 1}),
+typed AS (
+  SELECT *, list_transform(w, lambda x: CASE WHEN ({_KIND}) IS NOT NULL THEN x END) AS item_slots, [{_FORMS}] AS forms,
+         len(list_filter(w, lambda x: ({_KIND}) IS NULL)) AS words,
+         len(list_filter(w, lambda x: coalesce({_KIND}, '<name>') = '<name>')) AS words_and_names
+  FROM cut),
 item_windows AS (
-  SELECT DISTINCT item_id, pos AS item_at, w AS item_w, kinds,
-         list_transform(w, lambda x: coalesce({_KIND}, x)) AS win
-  FROM typed WHERE len(list_filter(kinds, lambda x: x IS NULL)) >= {LITERALS}),
-sizes AS (SELECT item_id, count(DISTINCT item_at) AS n_windows FROM item_windows GROUP BY item_id),
-doc_tok AS (SELECT doc_id, {_marked('text', True)} AS tok FROM documents),
+  SELECT item_id, item_key, item_at, width, CASE WHEN width = {WINDOW} THEN item_slots ELSE [] END AS item_slots, f AS win,
+         width = {WINDOW} AND words_and_names >= {LITERALS} AS typed,
+         width = {WINDOW} AND (f = forms[1] AND words >= {LITERALS} OR f = forms[2] AND words_and_names >= {LITERALS}) AS template
+  FROM (SELECT *, unnest(list_distinct(CASE WHEN width < {WINDOW} THEN [forms[3]] ELSE list_filter(
+          [CASE WHEN words >= {LITERALS} THEN forms[1] END, CASE WHEN words_and_names >= {LITERALS} THEN forms[2] END, forms[3]],
+          lambda x: x IS NOT NULL) END)) AS f FROM typed)),
+sizes AS (
+  SELECT item_id, count(DISTINCT item_at) FILTER (typed) AS n_windows, count(DISTINCT item_at) AS n_all FROM item_windows GROUP BY item_id),
+doc_tok AS (SELECT doc_id, {_marked('text')} AS tok FROM documents),
+doc_cut AS (
+  SELECT doc_id, tok, pos, tok[pos + 1 : pos + width] AS w, width
+  FROM doc_tok, (SELECT DISTINCT width FROM item_windows UNION SELECT {WINDOW}) AS widths, unnest(range(len(tok) - width + 1)) AS u(pos)),
 doc_windows AS (
-  SELECT doc_id, pos, tok[pos + 1 : pos + {WINDOW}] AS doc_w FROM doc_tok, unnest(range(len(tok) - {WINDOW - 1})) AS u(pos)),
+  SELECT doc_id, tok AS row_key, pos, width, list_transform(w, lambda x: {_BARE}) AS doc_slots, forms[i] AS win, i = 1 AS first_form
+  FROM (SELECT *, [{_FORMS}] AS forms FROM doc_cut), range(1, 4) AS r(i) WHERE width = {WINDOW} OR i = 3),
 met AS (
-  SELECT doc_id, item_id, pos - item_at AS distance, item_at, item_w, doc_w, kinds
-  FROM (SELECT *, list_transform(doc_w, lambda x: coalesce({_KIND}, x)) AS win FROM doc_windows) JOIN item_windows USING (win)),
+  SELECT doc_id, row_key, item_id, item_key, pos - item_at AS distance, item_at, typed, template AND first_form AS template, item_slots, doc_slots
+  FROM doc_windows JOIN item_windows USING (width, win)),
 slots AS (
-  SELECT doc_id, item_id, distance, item_w[k] AS item_slot, doc_w[k] AS doc_slot
-  FROM met, unnest(range(1, {WINDOW + 1})) AS u(k) WHERE kinds[k] IS NOT NULL),
-checked AS (
-  SELECT doc_id, item_id, distance, count(DISTINCT item_slot) = count(DISTINCT (item_slot, doc_slot)) AS same,
-         bool_or(item_slot <> doc_slot) AS changed
-  FROM slots GROUP BY ALL),
-lined_up AS (
-  SELECT met.doc_id, met.item_id, met.item_at, met.distance, coalesce(changed, false) AS changed
-  FROM met LEFT JOIN checked USING (doc_id, item_id, distance) WHERE coalesce(same, true)),
-runs AS (SELECT doc_id, item_id, distance, count(DISTINCT item_at) AS places FROM lined_up GROUP BY ALL),
+  SELECT DISTINCT doc_id, row_key, item_id, item_key, distance, item_slots[k] AS item_slot, doc_slots[k] AS doc_slot
+  FROM met, unnest(range(1, len(item_slots) + 1)) AS u(k) WHERE item_slots[k] IS NOT NULL),
+several AS (
+  SELECT doc_id, row_key, item_id, item_key, distance, list(item_slot) AS several
+  FROM (SELECT doc_id, row_key, item_id, item_key, distance, item_slot FROM slots GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL),
+counted AS (
+  SELECT met.*, list_bool_or(list_transform(range(1, len(item_slots) + 1), lambda k:
+           item_slots[k] IS NOT NULL AND translate(item_slots[k], chr(1) || chr(2), '') <> doc_slots[k])) AS changed
+  FROM met LEFT JOIN several USING (doc_id, row_key, item_id, item_key, distance)
+  WHERE NOT list_has_any(list_filter(item_slots, lambda x: x IS NOT NULL), coalesce(several, []))),
+runs AS (
+  SELECT doc_id, item_id, count(DISTINCT item_at) FILTER (template) AS a, count(DISTINCT item_at) FILTER (typed) AS b, count(DISTINCT item_at) AS c
+  FROM counted GROUP BY doc_id, row_key, item_id, item_key, distance),
+longest AS (SELECT doc_id, item_id, max(a) AS a, max(b) AS b, max(c) AS c FROM runs GROUP BY ALL),
 found AS (
-  SELECT doc_id, item_id, count(DISTINCT item_at) AS n_matched, bool_or(changed) AS slots_changed
-  FROM lined_up GROUP BY ALL)
-SELECT doc_id, item_id, n_matched, n_windows, slots_changed
-FROM found JOIN sizes USING (item_id) JOIN (SELECT doc_id, item_id, max(places) AS longest FROM runs GROUP BY ALL) USING (doc_id, item_id)
-WHERE n_matched >= {COVERAGE} * n_windows OR longest >= {RUN}
+  SELECT doc_id, item_id, count(DISTINCT item_at) FILTER (template) AS n_a, count(DISTINCT item_at) FILTER (typed) AS n_b,
+         count(DISTINCT item_at) AS n_c, coalesce(bool_or(changed), false) AS slots_changed
+  FROM counted GROUP BY ALL),
+judged AS (
+  SELECT found.*, n_windows, n_all, n_a > 0 AND (n_a >= {COVERAGE} * n_windows OR a >= {RUN}) AS by_a, n_b > 0 AND (n_b >= {COVERAGE} * n_windows OR b >= {RUN}) AS by_b,
+         n_c > 0 AND (n_c >= {COVERAGE} * n_all OR c >= {RUN}) AS by_c
+  FROM found JOIN sizes USING (item_id) JOIN longest ON longest.item_id = found.item_id AND longest.doc_id IS NOT DISTINCT FROM found.doc_id)
+SELECT doc_id, item_id, CASE WHEN by_a THEN n_a WHEN by_b THEN n_b ELSE n_c END AS n_matched,
+       CASE WHEN by_a OR by_b THEN n_windows ELSE n_all END AS n_windows, slots_changed
+FROM judged WHERE by_a OR by_b OR by_c
 """
 
 _OP4 = """
