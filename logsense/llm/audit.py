@@ -7,6 +7,7 @@ smaller id arrives, those are taken back (counted with -1) and counted anew as r
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import permutations
 from math import factorial
@@ -15,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from logsense.llm.streams import disk_state, stream_table
 from logsense.llm.texts import words
@@ -23,6 +25,9 @@ from logsense.session import scratch_path
 #: Micro-batches in which a table is taken.
 BATCHES = 4
 COUNTERS = "part string, mask int, quality boolean, toxic boolean, n long"
+_HELD = "doc_id long, mask int, quality boolean, toxic boolean, parts array<string>, counts array<long>"
+#: Buckets of texts: most tasks that share the state. Fixed for the life of a checkpoint.
+BUCKETS = 1024
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _REST = ["part", "mask", "quality", "toxic"]
 
@@ -73,12 +78,13 @@ def _combined(repeated_bit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
             state = rows[first].groupby(["key", "doc_id", *_REST], as_index=False).size()
             rest = rows[~first]
             rest = rest.assign(mask=rest["mask"].where(rest["doc_id"].isna(), rest["mask"] | repeated_bit))
-            done = rest.groupby(_REST, as_index=False).size().assign(key=b"%d" % (k % 64), doc_id=None)
-            both = pd.concat([f.astype({"doc_id": "Int64", "mask": "int32"}) for f in (state, done)], ignore_index=True)
-            out = both.rename(columns={"size": "n"})[["key", "doc_id", *_REST, "n"]]
+            state["bucket"] = [int.from_bytes(key[:4], "little") % BUCKETS for key in state["key"]]
+            done = rest.groupby(_REST, as_index=False).size().assign(key=None, doc_id=-1, bucket=k % BUCKETS)
+            both = pd.concat([f.astype({"doc_id": "int64", "mask": "int32"}) for f in (state, done) if len(f)] or [state], ignore_index=True)
+            out = both.rename(columns={"size": "n"})[["bucket", "key", "doc_id", *_REST, "n"]]
             yield pa.RecordBatch.from_pandas(
                 out, preserve_index=False, schema=pa.schema([
-                    ("key", pa.binary()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("quality", pa.bool_()),
+                    ("bucket", pa.int32()), ("key", pa.binary()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("quality", pa.bool_()),
                     ("toxic", pa.bool_()), ("n", pa.int64()),
                 ]),
             )
@@ -113,24 +119,33 @@ def settle(held: tuple | None, rows: list[tuple], repeated_bit: int) -> tuple[tu
     return (least, *same, list(parts), list(parts.values())), changes
 
 
-def _text_state(repeated_bit: int):
-    columns = ["part", "mask", "quality", "toxic", "n"]
+class TextState(StatefulProcessor):
+    """The state of the texts of a bucket, one value on disk per text; gives the changes of the counters."""
 
-    def update(key, frames, state):
-        if len(key[0]) < 32:  # counters on their way
-            for frame in frames:
-                yield frame[columns]
-            return
-        held = state.get if state.exists else None
-        changes: list[tuple] = []
-        for frame in frames:
-            rows = list(zip(*(frame[c].tolist() for c in ("doc_id", *columns))))
-            held, more = settle(held, rows, repeated_bit)
-            changes += more
-        state.update(held)
-        yield pd.DataFrame(changes, columns=columns)
+    def __init__(self, repeated_bit: int):
+        self.repeated_bit = repeated_bit
 
-    return update
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.texts = handle.getMapState("texts", "digest binary", _HELD)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            changes: Counter = Counter()
+            texts: dict[bytes, list[tuple]] = {}
+            for digest, *row in zip(*(frame[c].tolist() for c in ("key", "doc_id", *_REST, "n"))):
+                if digest is None:  # counters on their way
+                    changes[tuple(row[1:5])] += row[5]
+                else:
+                    texts.setdefault(bytes(digest), []).append(tuple(row))
+            for digest, found in texts.items():
+                held, more = settle(self.texts.getValue((digest,)), found, self.repeated_bit)
+                self.texts.updateValue((digest,), held)
+                for *place, n in more:
+                    changes[tuple(place)] += n
+            yield pd.DataFrame([(*place, n) for place, n in changes.items()], columns=[*_REST, "n"])
+
+    def close(self) -> None:
+        pass
 
 
 def absorb(
@@ -144,11 +159,8 @@ def absorb(
     filters = FILTERS if filters is None else filters
     bit = 1 << len(filters)
     rows = _labelled(_masked(stream_table(spark, path, batches), filters, id_col, text_col, part_col), labels, id_col)
-    combined = rows.select("key", "doc_id", *_REST).mapInArrow(_combined(bit), f"key binary, doc_id long, {COUNTERS}")
-    changes = combined.groupBy("key").applyInPandasWithState(
-        _text_state(bit), COUNTERS, "doc_id long, mask int, quality boolean, toxic boolean, parts array<string>, counts array<long>",
-        "append", "NoTimeout",
-    )
+    combined = rows.select("key", "doc_id", *_REST).mapInArrow(_combined(bit), f"bucket int, key binary, doc_id long, {COUNTERS}")
+    changes = combined.groupBy("bucket").transformWithStateInPandas(TextState(bit), COUNTERS, "Append", "None")
 
     def count(batch: DataFrame, batch_id: int) -> None:
         batch.groupBy(*_REST).agg(F.sum("n").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
