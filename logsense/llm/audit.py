@@ -7,6 +7,7 @@ smaller id arrives, those are taken back (counted with -1) and counted anew as r
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import permutations
@@ -23,9 +24,8 @@ from logsense.llm.texts import words
 from logsense.session import scratch_path
 
 #: Micro-batches in which a table is taken.
-BATCHES = 4
+BATCHES = 3
 COUNTERS = "part string, mask int, quality boolean, toxic boolean, n long"
-_HELD = "doc_id long, mask int, quality boolean, toxic boolean, parts array<string>, counts array<long>"
 #: Buckets of texts: most tasks that share the state. Fixed for the life of a checkpoint.
 BUCKETS = 1024
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -126,9 +126,11 @@ class TextState(StatefulProcessor):
         self.repeated_bit = repeated_bit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.texts = handle.getMapState("texts", "digest binary", _HELD)
+        # the tuple of ``settle`` as JSON
+        self.texts = handle.getMapState("texts", "digest binary", "held string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        seen = self.texts.exists()
         for frame in rows:
             changes: Counter = Counter()
             texts: dict[bytes, list[tuple]] = {}
@@ -138,10 +140,12 @@ class TextState(StatefulProcessor):
                 else:
                     texts.setdefault(bytes(digest), []).append(tuple(row))
             for digest, found in texts.items():
-                held, more = settle(self.texts.getValue((digest,)), found, self.repeated_bit)
-                self.texts.updateValue((digest,), held)
+                before = self.texts.getValue((digest,)) if seen else None
+                held, more = settle(before and json.loads(before[0]), found, self.repeated_bit)
+                self.texts.updateValue((digest,), (json.dumps(held),))
                 for *place, n in more:
                     changes[tuple(place)] += n
+            seen = True
             yield pd.DataFrame([(*place, n) for place, n in changes.items()], columns=[*_REST, "n"])
 
     def close(self) -> None:
