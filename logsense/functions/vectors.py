@@ -39,28 +39,35 @@ def l2_normalize(df: DataFrame, col: str = "embedding", out: str | None = None)
     return scaled.withColumn(out or col, vector_to_array("_u")).drop("_v", "_u")
 
 
-def nearest_center(centers: np.ndarray, ids: np.ndarray, thresholds: np.ndarray | None = None):
-    """Column function: vector -> struct(cluster, distance, threshold); ties go to the first id.
+def nearest_rows(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row the place of the nearest center and the distance to it; ties go to the first.
 
     Distances are rounded to 12 decimals, so that those equal but for the order of summation tie.
+    """
+    rows_at_once = max(1, _BLOCK_CELLS // max(1, centers.size))
+    best = np.empty(len(x))
+    which = np.empty(len(x), dtype=np.int64)
+    for lo in range(0, len(x), rows_at_once):
+        diff = x[lo : lo + rows_at_once, None, :] - centers[None, :, :]
+        distance = np.round(np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)), 12)
+        least = distance.argmin(axis=1)
+        which[lo : lo + rows_at_once] = least
+        best[lo : lo + rows_at_once] = distance[np.arange(len(least)), least]
+    return which, best
+
+
+def nearest_center(centers: np.ndarray, ids: np.ndarray, thresholds: np.ndarray | None = None):
+    """Column function: vector -> struct(cluster, distance, threshold), as ``nearest_rows`` finds them.
+
     A null vector gives nulls; one with a NaN has distance NaN.
     """
     limits = np.full(len(ids), _INF) if thresholds is None else thresholds
-    k, width = centers.shape
-    rows_at_once = max(1, _BLOCK_CELLS // max(1, k * width))
+    width = centers.shape[1]
 
     @F.arrow_udf("cluster int, distance double, threshold double")
     def nearest(vectors: pa.Array) -> pa.Array:
         known = np.asarray(vectors.is_valid())
-        x = to_matrix(vectors.drop_null(), width)
-        best = np.empty(len(x))
-        which = np.empty(len(x), dtype=np.int64)
-        for lo in range(0, len(x), rows_at_once):
-            diff = x[lo : lo + rows_at_once, None, :] - centers[None, :, :]
-            distance = np.round(np.sqrt(np.einsum("ijk,ijk->ij", diff, diff)), 12)
-            least = distance.argmin(axis=1)
-            which[lo : lo + rows_at_once] = least
-            best[lo : lo + rows_at_once] = distance[np.arange(len(least)), least]
+        which, best = nearest_rows(to_matrix(vectors.drop_null(), width), centers)
         place = np.cumsum(known) - 1  # row -> index among the non-null vectors
         take = pa.array(place, mask=~known)
         parts = [pa.array(ids[which], pa.int32()), pa.array(best), pa.array(limits[which])]

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from multiprocessing.pool import ThreadPool
+from dataclasses import replace
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
@@ -17,35 +15,15 @@ from pyspark.sql import functions as F
 
 from logsense.config import ClusterConfig
 from logsense.functions.vectors import as_doubles, nearest_center
-from logsense.operators.metrics import EVALUATION_SCHEMA, label_metrics, suggest_k
-from logsense.operators.sampling import sample_rows
+from logsense.operators.metrics import suggest_k
+from logsense.operators.models import MAX_CENTERS, ClusterModel, center_model
+from logsense.operators.sweep import bounded_sample, evaluate_models, fit_many, running_means, seed_centers
 from logsense.session import materialize
 
-MAX_CENTERS = 10_000
-
-
-@dataclass(frozen=True)
-class ClusterModel:
-    """At most MAX_CENTERS centers with their thresholds; small enough to travel with each task."""
-
-    ids: np.ndarray
-    centers: np.ndarray
-    method: str = "kmeans"
-    inertia: float | None = None
-    thresholds: dict[int, float] | None = None
-    common_threshold: float | None = None
-    sizes: dict[int, int] | None = None
-
-    @property
-    def k(self) -> int:
-        return len(self.ids)
-
-
-def center_model(ids: Sequence[int], centers: Sequence[Sequence[float]], **more) -> ClusterModel:
-    if len(ids) > MAX_CENTERS:
-        raise ValueError(f"{len(ids)} centers; at most {MAX_CENTERS} can be broadcast")
-    order = np.argsort(np.asarray(ids), kind="stable")
-    return ClusterModel(np.asarray(ids)[order], np.asarray(centers, dtype=np.float64)[order], **more)
+#: Times per epoch that mini-batch fits of all tasks are merged.
+MERGES = 8
+#: Vectors of a task of a mini-batch fit; so the result does not depend on the cluster.
+TASK_ROWS = 1 << 17
 
 
 def label_centers(vectors: DataFrame, label_col: str, vector_col: str = "embedding") -> ClusterModel:
@@ -114,72 +92,46 @@ def _fit_lloyd(
 def _fit_minibatch(
     vectors: DataFrame, k: int, config: ClusterConfig, vector_col: str, id_col: str | None
 ) -> ClusterModel:
-    """Each batch moves every center to the running mean of the vectors it has won.
+    """Centers are the running means of the vectors they have won, batch by batch of ``batch_size``.
 
-    Batches follow a hash of the id (or of the vector) and hold about ``batch_size`` vectors at any size of
-    the table; a batch is one job per epoch, read from its own folder. Start centers come from the first
-    batches that together hold enough vectors.
+    An epoch is cut into MERGES rounds by a hash of the id (or of the vector). In a round every task takes its own rows in
+    batches, from the centers that all began the round with; then the sums of what was won are added up over all
+    tasks, which gives the running means over all of them. So an epoch is MERGES jobs, whatever the size of the table.
     """
-    key = F.col(id_col) if id_col else F.col(vector_col)
-    features = vectors.select(as_doubles(F.col(vector_col)).alias("v"), F.xxhash64(F.lit(config.seed), key).alias("shard"))
-    total = vectors.count()
-    batches = max(1, math.ceil(total / config.batch_size))
-    placed = features.withColumn("batch", F.pmod("shard", F.lit(batches)).cast("int"))
-    if batches > 1:
-        shards = max(1, math.ceil(total / batches / 100_000))
-        placed = placed.repartition("batch", F.pmod(F.floor(F.col("shard") / batches), F.lit(shards)))
-    stored = materialize(placed.select("v", "batch"), "batches", ("batch",))
-    enough = math.ceil(4 * k / config.batch_size)
-    start = KMeans(k=k, maxIter=0, seed=config.seed).fit(_features(stored.filter(F.col("batch") < enough), "v"))
-    centers = np.stack(start.clusterCenters())
+    key = F.xxhash64(F.lit(config.seed), F.col(id_col) if id_col else F.col(vector_col))
+    rows = vectors.where(F.col(vector_col).isNotNull()).select(F.col(vector_col).alias("v"), key.alias("key"))
+    placed = rows.withColumn("round", F.pmod(F.xxhash64("key"), F.lit(MERGES)).cast("int"))
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
+    stored = materialize(placed.repartition(tasks, "key").sortWithinPartitions("round", "key"), "rounds", ("round",))
+    centers = seed_centers(bounded_sample(stored, "key", config, "v"), k, config.seed)
     won = np.zeros(len(centers))
     for _ in range(max(config.epochs, 1)):
-        for batch in range(batches):
-            step = center_model(range(len(centers)), centers)
-            means = (
-                assign(stored.filter(F.col("batch") == batch), step, "v")
-                .groupBy("cluster")
-                .agg(Summarizer.mean(array_to_vector("v")).alias("c"), F.count("*").alias("n"))
-                .collect()
-            )
-            for row in means:
-                j, n = row["cluster"], row["n"]
+        for r in range(MERGES):
+            found = running_means(stored.where(F.col("round") == r), centers, won, config.batch_size, "v")
+            for j, (n, total) in found.items():
+                centers[j] = (centers[j] * won[j] + total) / (won[j] + n)
                 won[j] += n
-                centers[j] += (row["c"].toArray() - centers[j]) * n / won[j]
     return center_model(range(len(centers)), centers, method="minibatch")
 
 
 def evaluate_k_range(
-    vectors: DataFrame,
-    id_col: str,
-    k_values: Sequence[int],
-    config: ClusterConfig = ClusterConfig(),
-    vector_col: str = "embedding",
-    parallelism: int = 4,
+    vectors: DataFrame, id_col: str, k_values: Sequence[int], config: ClusterConfig = ClusterConfig(), vector_col: str = "embedding"
 ) -> DataFrame:
-    """One row per k: inertia and quality metrics over all vectors, the silhouette on one sample, and fit time.
+    """One row per k: inertia and quality metrics of a fit, and its seconds.
 
-    The sample is the same for every k. A few values of k are worked on at once, as the fits of
-    one k seldom fill a cluster.
+    With Lloyd's method all k are fitted in the same passes and share their time equally; mini-batch fits are one after another.
     """
-    spark = vectors.sparkSession
-    sample = materialize(
-        sample_rows(vectors.select(id_col, vector_col), id_col, config.sample_size, config.seed), "sample"
-    )
-    sample_size = sample.count()
-
-    def one(k: int) -> tuple:
-        begin = time.perf_counter()
-        model = fit(vectors, k, config, vector_col, id_col)
-        seconds = time.perf_counter() - begin
-        scores = label_metrics(
-            assign(vectors, model, vector_col), "cluster", vector_col, assign(sample, model, vector_col)
-        )
-        return (k, model.inertia, *scores, seconds, sample_size)
-
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(one, k_values, chunksize=1)
-    return spark.createDataFrame(rows, EVALUATION_SCHEMA)
+    begin = time.perf_counter()
+    if config.method == "kmeans":
+        models = fit_many(vectors, k_values, bounded_sample(vectors, id_col, config, vector_col), config, vector_col)
+        seconds = [(time.perf_counter() - begin) / len(models)] * len(models)
+    else:
+        models, seconds = [], []
+        for k in k_values:
+            models.append(fit(vectors, k, config, vector_col, id_col))
+            seconds.append(time.perf_counter() - begin)
+            begin = time.perf_counter()
+    return evaluate_models(vectors, id_col, models, config, vector_col, seconds, k_values)
 
 
 def k_range(config: ClusterConfig, n: int) -> range:

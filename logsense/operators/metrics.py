@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsense.functions.vectors import as_doubles, distance_to_own, to_matrix
@@ -135,20 +136,60 @@ def silhouette(
             b, own = block[lo : lo + 512], mine[lo : lo + 512]
             d2 = np.einsum("ij,ij->i", b, b)[:, None] + squares[None, :] - 2.0 * (b @ x.T)
             sums = np.sqrt(np.maximum(d2, 0.0)) @ member
-            rows = np.arange(len(b))
-            others = np.maximum(counts[own] - 1, 1)
-            inner = sums[rows, own] / others
-            mean = sums / counts
-            mean[rows, own] = np.inf
-            outer = mean.min(axis=1)
-            top = np.maximum(inner, outer)
-            s = np.divide(outer - inner, top, out=np.zeros(len(b)), where=top > 0)
-            out[lo : lo + 512] = np.where(counts[own] == 1, 0.0, s)
+            out[lo : lo + 512] = _silhouettes_of(sums, own, counts)
         return pa.array(out)
 
     return _finite(float(points.select(score("label", "v").alias("s")).agg(F.avg("s")).first()[0]))
 
 
+def mean_silhouettes(spark: SparkSession, x: np.ndarray, labelings: list[np.ndarray]) -> list[float | None]:
+    """The exact mean silhouette of each labeling of a bounded sample ``x``, all in one pass.
+
+    The sample travels to the tasks once; each distance is computed once and serves all labelings.
+    """
+    members, counts, owns = [], [], []
+    for labels in labelings:
+        _, own = np.unique(labels, return_inverse=True)
+        member = np.zeros((len(x), own.max(initial=0) + 1))
+        member[np.arange(len(x)), own] = 1.0
+        members.append(member)
+        counts.append(member.sum(axis=0))
+        owns.append(own)
+    shared = spark.sparkContext.broadcast((x, np.concatenate(members, axis=1), counts, owns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, member, counts, owns = shared.value
+        squares = np.einsum("ij,ij->i", x, x)
+        edges = np.concatenate([[0], np.cumsum([len(c) for c in counts])])
+        for batch in batches:
+            ids = np.asarray(batch.column(0))
+            totals = np.zeros(len(counts))
+            for lo in range(0, len(ids), 512):
+                rows = ids[lo : lo + 512]
+                d2 = squares[rows, None] + squares[None, :] - 2.0 * (x[rows] @ x.T)
+                sums = np.sqrt(np.maximum(d2, 0.0)) @ member
+                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                    totals[k] += _silhouettes_of(sums[:, a:b], owns[k][rows], counts[k]).sum()
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(counts)), pa.int32()), pa.array(totals)], names=["labeling", "s"])
+
+    found = spark.range(len(x)).mapInArrow(run, "labeling int, s double").groupBy("labeling").agg(F.sum("s").alias("s")).collect()
+    sums = {r["labeling"]: r["s"] for r in found}
+    return [_finite(sums[k] / len(x)) if _enough_labels(len(c), len(x)) else None for k, c in enumerate(counts)]
+
+
+def _silhouettes_of(sums: np.ndarray, own: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Per row the silhouette from its sums of distances to the members of each cluster; 0 for a cluster of one."""
+    rows = np.arange(len(own))
+    inner = sums[rows, own] / np.maximum(counts[own] - 1, 1)
+    mean = sums / counts
+    mean[rows, own] = np.inf
+    outer = mean.min(axis=1)
+    top = np.maximum(inner, outer)
+    with np.errstate(invalid="ignore"):
+        s = np.divide(outer - inner, top, out=np.zeros(len(own)), where=(top > 0) & np.isfinite(top))
+    return np.where(counts[own] == 1, 0.0, s)
+
+
 def label_metrics(
     df: DataFrame, label_col: str, vector_col: str = "embedding", sample: DataFrame | None = None
 ) -> tuple:
