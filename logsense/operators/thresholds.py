@@ -94,14 +94,37 @@ def _order_statistics(values: DataFrame, targets: dict, direct_rows: int) -> dic
     return found
 
 
+def sketched_percentiles(df: DataFrame, group: str, value: str, percent: float, accuracy: int) -> dict:
+    """group -> (percentile, n), and None -> that of all rows, from sketches that tasks build and merge in one pass.
+
+    A sketch holds a number of values that follows ``accuracy``, not the rows; ranks are off by n / ``accuracy`` at most.
+    """
+    values = df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v")).filter("g IS NOT NULL AND v IS NOT NULL")
+    sketch = F.percentile_approx("v", percent / 100, accuracy)
+    rows = values.rollup("g").agg(sketch.alias("t"), F.count("*").alias("n")).limit(MAX_CENTERS + 2).collect()
+    if len(rows) > MAX_CENTERS + 1:
+        raise ValueError(f"more than {MAX_CENTERS} groups")
+    return {r["g"]: (r["t"], r["n"]) for r in rows if r["n"]}
+
+
 def learn_thresholds(
     vectors: DataFrame,
     model: ClusterModel,
     percent: float = 99.0,
     vector_col: str = "embedding",
     direct_rows: int = DIRECT_ROWS,
+    accuracy: int | None = None,
 ) -> ClusterModel:
-    """The model with a threshold per cluster and a common one; an empty cluster has none."""
+    """The model with a threshold per cluster and a common one; an empty cluster has none.
+
+    With ``accuracy`` the percentiles come from sketches instead, in one pass: a threshold is then a distance that occurs,
+    and its rank is off by at most the number of vectors (of the cluster, or of all) / ``accuracy``.
+    """
+    if accuracy is not None:
+        found = sketched_percentiles(assign(vectors.select(vector_col), model, vector_col), "cluster", "distance", percent, accuracy)
+        common = found.pop(None, (None, 0))[0]
+        limits, sizes = {g: t for g, (t, _) in found.items()}, {g: n for g, (_, n) in found.items()}
+        return replace(model, thresholds=limits, sizes=sizes, common_threshold=common)
     distances = materialize(
         assign(vectors.select(vector_col), model, vector_col).select("cluster", "distance", F.lit(0).alias("all_rows")),
         "distances",

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,9 +30,10 @@ from logsense.operators.metrics import (
     EVALUATION_SCHEMA, elbow, label_metrics, metric_series, silhouette, suggest_k,
 )
 from logsense.operators.mining import mine_assignments, mine_templates, routed_messages, similar_pairs
-from logsense.operators.projection import project_2d
+from logsense.operators.projection import leading_direction, project_2d
 from logsense.operators.sampling import sample_rows
 from logsense.operators.scoring import find_anomalies, score, thresholds_frame
+from logsense.operators.sweep import evaluate_models, lloyd_step
 from logsense.operators.templates import (
     assign_templates, match_logs, match_messages, new_messages, template_table,
 )
@@ -41,9 +43,13 @@ from logsense.plans.parse import parse_log_files
 from logsense.plans.train import embed_templates, train, training_rows
 from logsense.session import materialize, scratch_path
 from logsense.sources import artifacts
-from logsense.sources.text_logs import is_excluded, lines_of_texts, read_log_lines
+from logsense.sources.live_lines import live_log_lines
+from logsense.sources.text_logs import is_excluded, lines_of_texts, list_files, read_log_lines, skipped_files
 from logsense.streaming.grouping import StreamGrouping
 from logsense.streaming.jobs import anomaly_vectors, append_to, detect_stream, latest_counts, upsert_to, window_counts
+from logsense.streaming.live_grouping import group_stream, open_entries
+from logsense.streaming.mining import StreamMiner
+from logsense.streaming.state import disk_state
 
 SUPPORT = 100
 PERCENT = 90.0
@@ -261,6 +267,22 @@ def mine_again(spark, sf_dir):
     return _fit_of(match_messages(distinct_messages(events), both))
 
 
+def mine_stream(spark, sf_dir):
+    """Mining along a stream of five micro-batches: sizes of the last templates, and messages that none of them holds."""
+    path, store = scratch_path(spark, "messages"), scratch_path(spark, "templates")
+    table(spark, sf_dir, "events").select("event_id", event_message().alias("message")).repartition(5, "event_id").write.parquet(path)
+    messages = spark.readStream.schema("event_id bigint, message string").option("maxFilesPerTrigger", 1).parquet(path)
+    miner = StreamMiner(store)
+    finish(miner.start(messages))
+    templates = miner.templates(spark, miner.latest(spark))
+    matched = match_messages(materialize(distinct_messages(event_messages(spark, sf_dir)), "messages"), templates)
+    lost = matched.filter("template is null").select(F.size(tokens_of(F.col("message"))).alias("n_tokens"), "n")
+    both = templates.select("n_tokens", "size", F.lit(0).alias("lost")).unionByName(
+        lost.select("n_tokens", F.lit(0).cast("bigint").alias("size"), F.col("n").cast("int").alias("lost"))
+    )
+    return both.groupBy("n_tokens").agg(F.sum("size").alias("messages"), F.sum("lost").cast("bigint").alias("lost"))
+
+
 # -- vectors ------------------------------------------------------------------------------
 
 
@@ -348,6 +370,20 @@ def cluster_thresholds_large(spark, sf_dir):
     return limits.select(F.col("cluster").cast("bigint").alias("cluster"), F.round("threshold", 6).alias("threshold"), "n")
 
 
+def cluster_thresholds_sketch(spark, sf_dir):
+    """The same in one pass from sketches: how many of a cluster's distances lie below and at its limit, against what the rank may miss."""
+    vectors = embeddings(spark, sf_dir)
+    accuracy = 100
+    model = learn_thresholds(vectors, label_centers(vectors, "label"), PERCENT, accuracy=accuracy)
+    scored = score(vectors, model)
+    below, upto = (F.sum(F.when(c, 1).otherwise(0)) for c in (F.col("distance") < F.col("threshold"), F.col("distance") <= F.col("threshold")))
+    n = F.count("*")
+    rank = PERCENT / 100 * n
+    return scored.groupBy(F.col("cluster").cast("bigint").alias("cluster")).agg(
+        n.alias("n"), ((below <= rank + n / accuracy + 1) & (upto >= rank - n / accuracy - 1)).alias("within")
+    )
+
+
 def common_threshold(spark, sf_dir):
     value = label_model(spark, sf_dir).common_threshold
     return spark.createDataFrame([(value,)], "threshold double").select(F.round("threshold", 6).alias("threshold"))
@@ -460,6 +496,41 @@ def k_sweep(spark, sf_dir):
     return evaluate_k_range(vectors, "vec_id", values).select("k", *_SCORES, "sample_size")
 
 
+GIVEN_K = range(2, 11, 2)
+
+
+def k_sweep_given(spark, sf_dir):
+    """The sweep's one-pass evaluation of given models: the mean vectors of ``label % k``."""
+    vectors = materialize(embeddings(spark, sf_dir), "vectors")
+    models = [label_centers(vectors.withColumn("label", F.col("label") % k), "label") for k in GIVEN_K]
+    found = evaluate_models(vectors, "vec_id", models, k_values=list(GIVEN_K))
+    return found.select(F.col("k").cast("bigint").alias("k"), *[F.round(c, 6).alias(c) for c in _SCORES])
+
+
+LLOYD_ROUNDS, POWER_ROUNDS = 3, 3
+
+
+def lloyd_rounds(spark, sf_dir):
+    """Three steps of Lloyd's method from the first ten vectors as centers."""
+    vectors = materialize(embeddings(spark, sf_dir), "vectors")
+    first = vectors.filter("vec_id < 10").orderBy("vec_id").select("embedding").collect()
+    centers = [np.array([r["embedding"] for r in first])]
+    for _ in range(LLOYD_ROUNDS):
+        centers = lloyd_step(vectors, centers)
+    frame = centers_frame(spark, center_model(range(len(centers[0])), centers[0]))
+    cells = frame.select(F.col("cluster").cast("bigint").alias("cluster"), F.posexplode("center").alias("pos", "value"))
+    return cells.select("cluster", "pos", F.round("value", 6).alias("value"))
+
+
+def power_rounds(spark, sf_dir):
+    """Three rounds towards the direction of most variance, from the first axis."""
+    vectors = materialize(embeddings(spark, sf_dir), "vectors")
+    width = vectors.select(F.max(F.size("embedding"))).first()[0]
+    direction = leading_direction(vectors, np.eye(width)[0], POWER_ROUNDS)
+    rows = [(k, float(x)) for k, x in enumerate(direction)]
+    return spark.createDataFrame(rows, "pos int, value double").select("pos", F.round("value", 6).alias("value"))
+
+
 def kmeans_auto_k(spark, sf_dir):
     vectors = materialize(embeddings(spark, sf_dir), "vectors")
     model, _, _ = train_clusters(vectors, "vec_id", ClusterConfig())
@@ -576,6 +647,57 @@ def model_roundtrip(spark, sf_dir):
     return _anomaly_columns(find_anomalies(embeddings(spark, sf_dir), artifacts.read_model(spark, path)))
 
 
+def evaluations_roundtrip(spark, sf_dir):
+    """The evaluations of a sweep and its suggestion, written as JSON and read back."""
+    path = scratch_path(spark, "evaluations")
+    sweep = label_sweep(spark, sf_dir)
+    artifacts.write_evaluations(sweep, suggest_k(sweep), path)
+    back = artifacts.read_table(spark, f"{path}/evaluations", EVALUATION_SCHEMA, "json")
+    best = artifacts.read_table(spark, f"{path}/suggestion", "consensus_k int", "json")
+    return back.crossJoin(F.broadcast(best)).select(
+        F.col("k").cast("bigint").alias("k"), *[F.round(c, 6).alias(c) for c in _SCORES], (F.col("k") == F.col("consensus_k")).alias("is_chosen")
+    )
+
+
+def report_csv_roundtrip(spark, sf_dir):
+    """The anomaly report as a CSV file, vectors as JSON text, read back."""
+    path = scratch_path(spark, "report")
+    templates = materialize(quiet_templates(spark, sf_dir), "templates")
+    found = detect(parsed_events(spark, sf_dir), templates, prototype_model(templates), hashed_embedder(DIMS))
+    report = found.select("start_line_no", "level", "component", "raw", "template", "embedding", "distance", "threshold")
+    artifacts.write_table(report, path, "csv")
+    schema = "start_line_no bigint, level string, component string, raw string, template string, embedding string, distance double, threshold double"
+    back = artifacts.read_table(spark, path, schema, "csv")
+    total = F.aggregate(F.from_json("embedding", "array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return back.select(
+        F.col("start_line_no").alias("event_id"), "level", "component", "template", F.round(total, 6).alias("total"),
+        F.round("distance", 6).alias("distance"), F.round("threshold", 6).alias("threshold"),
+    )
+
+
+def projection_csv_roundtrip(spark, sf_dir):
+    """Projected points as a CSV file, read back: points and clusters, and the spread along both axes relative to each other."""
+    path = scratch_path(spark, "projection")
+    near = assign(embeddings(spark, sf_dir), label_model(spark, sf_dir, None))
+    artifacts.write_table(project_2d(near, "vec_id"), path, "csv")
+    back = artifacts.read_table(spark, path, "vec_id bigint, pc1 double, pc2 double, cluster_id int", "csv")
+    return back.groupBy(F.col("cluster_id").cast("bigint").alias("cluster_id")).agg(
+        F.count("*").alias("n"), F.sum("vec_id").alias("ids"), F.count_if(F.col("pc1").isNotNull() & F.col("pc2").isNotNull()).alias("placed")
+    )
+
+
+def unreadable_files(spark, sf_dir):
+    """Log files of the documents, each readable, listed and tried: none is skipped, and how many lines they hold."""
+    path = scratch_path(spark, "logs")
+    table(spark, sf_dir, "documents").select("text", "source").write.partitionBy("source").option("compression", "gzip").text(path)
+    listed = list_files(spark, path, "**/*.gz")
+    lines = read_log_lines(spark, path, pattern="**/*.gz").groupBy("log_file").agg(F.count("*").alias("n"))
+    source = F.regexp_extract("log_file", "source=([^/]*)/", 1).alias("source")
+    skipped = skipped_files(materialize(listed, "listed"))
+    tried = listed.join(lines, "log_file", "left").join(skipped, "log_file", "left")
+    return tried.groupBy(source).agg(F.sum("n").alias("lines"), F.count("reason").alias("skipped"))
+
+
 # -- streams ------------------------------------------------------------------------------
 
 
@@ -615,6 +737,21 @@ def stream_entries(spark, sf_dir):
     return entries.select(F.col("log_file").cast("bigint").alias("doc_id"), "start_line_no", "raw", "n_lines")
 
 
+def stream_file_entries(spark, sf_dir):
+    """Log files that come while a stream follows their folder, read in two runs from one checkpoint, grouped with state and timers."""
+    path, index, state, out = (scratch_path(spark, n) for n in ("logs", "index", "state", "entries"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    later = F.pmod(F.xxhash64("source"), F.lit(2)) == 1
+    with disk_state(spark):
+        for part in (docs.filter(~later), docs.filter(later)):
+            placed = part.repartition("source").sortWithinPartitions("source", "doc_id")
+            placed.select("text", "source").write.mode("append").partitionBy("source").text(path)
+            lines = live_log_lines(spark, path, index, pattern="**/*.txt", closed_after=0)
+            finish(append_to(group_stream(lines, SENTENCES), out, state))
+        entries = spark.read.parquet(out).unionByName(open_entries(spark, state, SENTENCES))
+    return entries.select(F.regexp_extract("log_file", "source=([^/]*)/", 1).alias("source"), "start_line_no", "raw", "n_lines")
+
+
 def stream_level_windows(spark, sf_dir):
     """Hourly counts per type of event: all windows, those still open with their latest count."""
     out = scratch_path(spark, "windows")
@@ -630,14 +767,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         events_level_counts, events_parse, events_effective_message, doc_lines_clean, doc_entries, doc_entries_uncut,
         doc_entries_single, page_excludes, doc_correct,
         template_freq, template_sizes, template_assign, training_assignment, template_match, unmatched_messages,
-        mine_events, mine_documents, mine_sizes, mine_again,
+        mine_events, mine_documents, mine_sizes, mine_again, mine_stream,
         embed_messages, embed_map_back, embed_tfidf, embed_user_model, l2_normalized,
-        nearest_centers, label_inertia, cluster_thresholds, cluster_thresholds_large, common_threshold,
+        nearest_centers, label_inertia, cluster_thresholds, cluster_thresholds_large, cluster_thresholds_sketch, common_threshold,
         anomalies_per_cluster, anomalies_common, scores_open_cluster,
         cluster_quality, silhouette_fast, k_eval, k_suggestion, k_elbow, k_metric_series, vector_sample,
-        kmeans_fit, minibatch_fit, k_sweep, kmeans_auto_k, pca_projection, pca_projection_sample,
+        kmeans_fit, minibatch_fit, k_sweep, k_sweep_given, kmeans_auto_k, lloyd_rounds, power_rounds, pca_projection, pca_projection_sample,
         detect_events, detection_rows, train_and_detect,
         text_file_lines, text_file_entries, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, embeddings_roundtrip, model_roundtrip,
-        stream_parse, stream_score, stream_detect, stream_entries, stream_level_windows,
+        evaluations_roundtrip, report_csv_roundtrip, projection_csv_roundtrip, unreadable_files,
+        stream_parse, stream_score, stream_detect, stream_entries, stream_file_entries, stream_level_windows,
     )
 }

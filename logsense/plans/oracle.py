@@ -179,6 +179,48 @@ votes AS (
   SELECT unnest([silhouette_best, davies_bouldin_best, calinski_harabasz_best, elbow_best]) AS k FROM best),
 suggestion AS (
   SELECT *, (SELECT k FROM votes GROUP BY k ORDER BY count(*) DESC, k LIMIT 1) AS consensus_k FROM best)"""
+SWEEP_GIVEN = f"""{VECS},
+bparts AS (
+  SELECT ks.k, label % ks.k AS label, unnest(v) AS x, unnest(range(0, len(v))) AS pos
+  FROM vecs CROSS JOIN (SELECT unnest([2, 4, 6, 8, 10])::BIGINT AS k) ks),
+bcent AS (
+  SELECT k, label, list(x ORDER BY pos) AS c FROM (SELECT k, label, pos, avg(x) AS x FROM bparts GROUP BY ALL) GROUP BY ALL),
+bnear AS (
+  SELECT k, vec_id, arg_min(label, (d, label)) AS label, min(d) AS d, any_value(v) AS v
+  FROM (SELECT k, vec_id, v, bcent.label, round(list_distance(v, c), 12) AS d FROM vecs CROSS JOIN bcent) GROUP BY k, vec_id),
+{_quality("SELECT k, vec_id, label, v FROM bnear")},
+inert AS (SELECT k, sum(d * d) AS inertia FROM bnear GROUP BY k),
+sweep AS (SELECT k, inertia, silhouette, davies_bouldin, calinski_harabasz FROM inert JOIN sil USING (k) JOIN db USING (k) JOIN ch USING (k))"""
+
+
+def _lloyd(rounds: int) -> str:
+    """Relations m0 (the first ten vectors) to m<rounds>: (cluster, c) after so many steps."""
+    steps = ["m0 AS (SELECT vec_id AS cluster, v AS c FROM vecs WHERE vec_id < 10)"]
+    for r in range(rounds):
+        steps.append(f"""
+won{r} AS (
+  SELECT vec_id, any_value(v) AS v, arg_min(cluster, (d, cluster)) AS cluster
+  FROM (SELECT vec_id, v, cluster, round(list_distance(v, c), 12) AS d FROM vecs CROSS JOIN m{r}) GROUP BY vec_id),
+cells{r} AS (SELECT cluster, unnest(v) AS x, unnest(range(0, len(v))) AS pos FROM won{r}),
+means{r} AS (SELECT cluster, list(x ORDER BY pos) AS c FROM (SELECT cluster, pos, avg(x) AS x FROM cells{r} GROUP BY ALL) GROUP BY cluster),
+m{r + 1} AS (SELECT m{r}.cluster, coalesce(means{r}.c, m{r}.c) AS c FROM m{r} LEFT JOIN means{r} USING (cluster))""")
+    return ", ".join(steps)
+
+
+def _power(rounds: int) -> str:
+    """Relations p0 (the first axis) to p<rounds>: (w), the direction after so many rounds, not of unit length."""
+    steps = ["""
+cells AS (SELECT vec_id, unnest(v) AS x, unnest(range(0, len(v))) AS pos FROM vecs),
+flat AS (SELECT vec_id, pos, x - avg(x) OVER (PARTITION BY pos) AS x FROM cells),
+p0 AS (SELECT pos, (pos = 0)::INT::DOUBLE AS w FROM (SELECT DISTINCT pos FROM flat))"""]
+    for r in range(rounds):
+        steps.append(f"""
+dots{r} AS (SELECT vec_id, sum(x * w) AS y FROM flat JOIN p{r} USING (pos) GROUP BY vec_id),
+raw{r} AS (SELECT pos, sum(x * y) AS w FROM flat JOIN dots{r} USING (vec_id) GROUP BY pos),
+p{r + 1} AS (SELECT pos, w / sqrt(sum(w * w) OVER ()) AS w FROM raw{r})""")
+    return ", ".join(steps)
+
+
 _SCORES = (
     "round(inertia, 6) AS inertia, round(silhouette, 6) AS silhouette, round(davies_bouldin, 6) AS davies_bouldin, "
     "round(calinski_harabasz, 6) AS calinski_harabasz"
@@ -274,6 +316,8 @@ SELECT doc_id, line_no, corrected_template, line <> corrected_template AS was_co
     "mine_documents": f"WITH {LINES} SELECT line AS message, count(*) AS n, true AS fits, true AS firm, true AS apart FROM lines WHERE line <> '' GROUP BY line",
     "mine_sizes": f"WITH {MESSAGES} SELECT len(regexp_split_to_array(trim(message), '\\s+'))::INTEGER AS n_tokens, "
     "count(*)::BIGINT AS messages FROM source GROUP BY ALL",
+    "mine_stream": f"WITH {MESSAGES} SELECT len(regexp_split_to_array(trim(message), '\\s+'))::INTEGER AS n_tokens, "
+    "count(*)::BIGINT AS messages, 0::BIGINT AS lost FROM source GROUP BY ALL",
     "mine_again": f"WITH {MESSAGES} SELECT message, count(*) AS n, true AS fits, true AS firm, true AS apart FROM source GROUP BY message",
     "embed_messages": f"WITH {MESSAGES}, {_vectors('source', 'message')} SELECT message, pos, round(value, 6) AS value FROM vectors",
     "embed_map_back": f"WITH {MESSAGES}, {_vectors('source', 'message')} "
@@ -289,6 +333,7 @@ SELECT vec_id, pos, round(value, 6) AS value FROM unit WHERE value <> 0""",
     "label_inertia": f"WITH {VECS}, {CENTERS} SELECT round(sum(distance * distance), 6) AS inertia FROM near",
     "cluster_thresholds": _THRESHOLDS,
     "cluster_thresholds_large": _THRESHOLDS,
+    "cluster_thresholds_sketch": f"WITH {VECS}, {CENTERS} SELECT cluster::BIGINT AS cluster, count(*) AS n, true AS within FROM near GROUP BY cluster",
     "common_threshold": f"WITH {VECS}, {CENTERS} SELECT round(quantile_cont(distance, 0.9), 6) AS threshold FROM near",
     "anomalies_per_cluster": _anomalies("threshold"),
     "anomalies_common": _anomalies(_COMMON),
@@ -310,6 +355,10 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "k_suggestion": f"WITH {SWEEP} SELECT * FROM suggestion",
     "k_elbow": f"WITH {SWEEP} SELECT k AS elbow_best FROM bend",
     "k_metric_series": f"WITH {SWEEP} SELECT sweep.k, {_SCORES}, k = (SELECT consensus_k FROM suggestion) AS is_chosen FROM sweep",
+    "k_sweep_given": f"WITH {SWEEP_GIVEN} SELECT k, {_SCORES} FROM sweep",
+    "lloyd_rounds": f"WITH {VECS}, {_lloyd(3)}, o AS (SELECT cluster, unnest(c) AS value, unnest(range(0, len(c)))::INTEGER AS pos FROM m3) "
+    "SELECT cluster, pos, round(value, 6) AS value FROM o",
+    "power_rounds": f"WITH {VECS}, {_power(3)} SELECT pos::INTEGER AS pos, round(w, 6) AS value FROM p3",
     "vector_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5(vec_id || ':42'), vec_id LIMIT 200",
     "detect_events": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
     "detection_rows": f"WITH {MATCHED}, {_vectors('matched', 'template')} SELECT event_id, is_new, round(sum(value), 6) AS total "
@@ -323,6 +372,13 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "embeddings_roundtrip": f"WITH {MESSAGES}, {_templates('source', str(SUPPORT))}, {_vectors('templates', 'template')} "
     "SELECT message AS template, pos, round(value, 6) AS value FROM vectors",
     "model_roundtrip": _anomalies("threshold"),
+    "evaluations_roundtrip": f"WITH {SWEEP} SELECT sweep.k, {_SCORES}, k = (SELECT consensus_k FROM suggestion) AS is_chosen FROM sweep",
+    "report_csv_roundtrip": f"WITH {DETECTED}, sums AS (SELECT message AS template, sum(value) AS total FROM vectors GROUP BY message) "
+    f"SELECT event_id, level, component, template, round(total, 6) AS total, {_FOUND} FROM found JOIN sums USING (template)",
+    "projection_csv_roundtrip": f"WITH {VECS}, {CENTERS} SELECT cluster::BIGINT AS cluster_id, count(*) AS n, sum(vec_id)::BIGINT AS ids, "
+    "count(*) AS placed FROM near GROUP BY cluster",
+    "unreadable_files": f"WITH {LINES} SELECT source, count(*) AS lines, 0::BIGINT AS skipped "
+    "FROM lines JOIN documents USING (doc_id) GROUP BY source",
     "stream_parse": f"WITH {EVENTS} SELECT event_id, {_PARSED} FROM parsed",
     "stream_score": _anomalies("threshold"),
     "stream_detect": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
@@ -338,3 +394,4 @@ SELECT doc_id AS source, start_line_no, raw, n_lines FROM entries""",
     "training_assignment": f"WITH {MATCHED} SELECT event_id, component, level AS log_level, cluster_id, template, "
     "template AS corrected_template, false AS was_corrected FROM matched JOIN templates USING (template) WHERE NOT is_new",
 }
+ORACLE["stream_file_entries"] = ORACLE["text_file_entries"]

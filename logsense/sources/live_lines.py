@@ -24,6 +24,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 
 from logsense.functions.regex import glob_to_regex, right_anchored_glob
 from logsense.functions.text import clean_line
+from logsense.sources.paths import open_path
 
 #: Least bytes of a split, and the most splits of one file in a micro-batch.
 SPLIT_BYTES, FILE_SPLITS = 64 << 20, 16
@@ -33,13 +34,6 @@ SCHEMA = "log_file string, line_no bigint, value binary"
 _NEWLINE, _RETURN = 10, 13
 
 
-def open_path(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a folder given as a path or URI."""
-    if uri.startswith("file:"):
-        uri = "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 def line_ends(data: bytes, before: int) -> np.ndarray:
     """Places in ``data`` that end a line: a line feed, or the byte after a lone carriage return.
 

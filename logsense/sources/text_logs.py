@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsense.functions.regex import glob_to_regex, right_anchored_glob
 from logsense.functions.text import clean_line, split_lines
+from logsense.sources.paths import open_path
 
 
 def is_excluded(path: Column, exclude_globs: Sequence[str]) -> Column:
@@ -81,6 +83,51 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isFile()
 
 
+#: Bytes that a task holds of a file that it tries to read.
+_TRY_BYTES = 8 << 20
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "**/*.log", exclude_globs: Sequence[str] = ()) -> DataFrame:
+    """``log_file`` of the files with content that ``read_raw_lines`` takes; none is read. Store it before a run that may lose files."""
+    root = path.rstrip("/") or "/"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    plain = F.regexp_replace(F.col("path"), "^file:/+", "/")
+    inside = F.substr(plain, F.instr(plain, f"{_plain(root)}/") + len(_plain(root)) + 1)
+    files = files.filter(inside.rlike(f"^{glob_to_regex(pattern)}$"))
+    if exclude_globs:
+        files = files.filter(~is_excluded(plain, exclude_globs))
+    return files.select(plain.alias("log_file"))
+
+
+def skipped_files(listed: DataFrame) -> DataFrame:
+    """``log_file, reason`` of the files of ``list_files`` that cannot be read to their end.
+
+    ``reason`` is ``missing``, ``denied`` or ``corrupt`` with what the file system said. Each task reads whole files piece by
+    piece and keeps none; gzip and other compressed files are unpacked on the way.
+    """
+
+    def attempt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path in batch.column("log_file").to_pylist():
+                try:
+                    system, plain = open_path(path)
+                    with system.open_input_stream(plain, compression="detect") as stream:
+                        while stream.read(_TRY_BYTES):
+                            pass
+                except FileNotFoundError:
+                    found.append((path, "missing"))
+                except PermissionError as error:
+                    found.append((path, f"denied: {error}"))
+                except (OSError, pa.ArrowInvalid) as error:
+                    found.append((path, f"corrupt: {error}"))
+            paths, reasons = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(reasons, pa.string())], names=["log_file", "reason"])
+
+    tasks = listed.sparkSession.sparkContext.defaultParallelism
+    return listed.repartition(tasks, "log_file").mapInArrow(attempt, "log_file string, reason string")
+
+
 def number_lines(raw_lines: DataFrame) -> DataFrame:
     """1-based line numbers per file; the work is split by file block, never by whole file.
 
