@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(cpus: int | str = "*", app: str = "logsense") -> SparkSession:
     """A single-JVM session for tests and benchmarks; a cluster brings its own session."""
     partitions = "8" if cpus == "*" else str(cpus)
@@ -31,17 +35,19 @@ def local_session(cpus: int | str = "*", app: str = "logsense") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; a cluster must name one.
+    A local session without the setting gets a temporary folder, one per application; a cluster must name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     master = spark.conf.get("spark.master", "local")
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="logsense-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # the setting cannot be changed in a running session
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="logsense-")
+    return _LOCAL_DIRS[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
