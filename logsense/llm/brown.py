@@ -285,18 +285,20 @@ def score_texts(
     tail = words.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("k") * F.log10(n + 0.5)).alias("tail_sum"), F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("tail_known")
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays, as tasks need not know this package's classes
+    shared = docs.sparkSession.sparkContext.broadcast((model.classes, model.log_step, model.log_emit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, wide = shared.value, config.all_classes
-        class_of = np.append(model.classes, config.other).astype(np.int64)
-        emit = np.concatenate([model.log_emit, np.zeros(config.exchange + 1 - len(model.log_emit))])
+        classes, log_step, log_emit = shared.value
+        wide = config.all_classes
+        class_of = np.append(classes, config.other).astype(np.int64)
+        emit = np.concatenate([log_emit, np.zeros(config.exchange + 1 - len(log_emit))])
         for batch in batches:
             scores = []
             for ids in batch.column("ids").to_pylist():
                 words = np.frombuffer(ids, np.uint16).astype(np.int64)
                 chain = np.concatenate([[wide - 1], class_of[words], [wide - 1]])
-                scores.append(float(model.log_step[chain[:-1], chain[1:]].sum() + emit[words].sum()))
+                scores.append(float(log_step[chain[:-1], chain[1:]].sum() + emit[words].sum()))
             kept = [c for c in batch.schema.names if c != "ids"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(scores, pa.float64())], names=[*kept, "classes_sum"])
 

@@ -9,7 +9,7 @@ against all others is fitted on them. Scores are products of presence matrices w
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -119,11 +119,19 @@ def _solve(sample: list, languages: list[str], each: int, config: KernelConfig)
     return KernelModel(tuple(languages), weights, (mean_y - mean_x @ solved).astype(np.float32), config)
 
 
+#: Cells of a block of grams x languages that are held at once, unless a single text has more.
+_CELLS = 1 << 22
+
+
 def _scores(model: KernelModel, grams: list[np.ndarray]) -> np.ndarray:
-    """Regression values of a batch: its presence matrix (sparse rows) times the model's matrix."""
+    """Regression values of a batch: its presence matrix (sparse rows) times the model's matrix, block by block."""
     sizes = np.array([len(g) for g in grams])
-    rows = model.weights[np.concatenate(grams)]
-    sums = np.add.reduceat(rows, np.concatenate([[0], np.cumsum(sizes)])[:-1], axis=0)
+    sums = np.empty((len(grams), model.weights.shape[1]), np.float32)
+    block = np.cumsum(sizes) * max(1, model.weights.shape[1]) // _CELLS
+    bounds = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(grams)]
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        rows = model.weights[np.concatenate(grams[a:b])]
+        sums[a:b] = np.add.reduceat(rows, np.concatenate([[0], np.cumsum(sizes[a:b])])[:-1], axis=0)
     return sums / np.sqrt(sizes)[:, None] + model.bias
 
 
@@ -136,7 +144,8 @@ def predict(
     with score 0 for null texts, those without a letter, and if the model knows no language. Ties go to
     the first language in alphabetical order. Whole texts are read, and no other column of ``docs``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** bits x languages, both bounded
+    # 2 ** bits x languages, both bounded; plain values, as tasks need not know this package's classes
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.bias, asdict(model.config)))
     extra = extra or {}
     slim = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
@@ -145,7 +154,8 @@ def predict(
     out = slim.select("doc_id", *[f"_{name}" for name in extra]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        languages, weights, bias, config = shared.value
+        model = KernelModel(languages, weights, bias, KernelConfig(**config))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -34,7 +34,7 @@ def byte_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col:
     )
     ranges = max(docs.sparkSession.sparkContext.defaultParallelism, -(-docs.count() // RANGE_ROWS))
     dealt = materialize(
-        slim.repartitionByRange(ranges, "doc_id").withColumn("part", F.spark_partition_id()), "ranges"
+        slim.repartitionByRange(ranges, F.col("doc_id").asc_nulls_first(), "size", "text_crc32").withColumn("part", F.spark_partition_id()), "ranges"
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
@@ -49,9 +49,9 @@ def byte_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col:
     )
     # twice the middle of a document, so that all stays in whole numbers
     middle = 2 * (F.col("byte_base") + F.col("byte_end")) - F.col("size")
-    placed = summed.join(offsets, "part").select(
+    placed = summed.join(offsets, "part").withColumn("middle", middle).select(
         "doc_id", "size", "text_crc32",
-        F.floor((middle * F.lit(shards)).cast("decimal(38,0)") / (2 * F.col("all_bytes"))).cast("int").alias("shard"),
+        F.expr(f"cast(middle as decimal(38,0)) * {int(shards)} div (2 * cast(all_bytes as decimal(38,0)))").cast("int").alias("shard"),
         (F.col("row_base") + F.col("row_end") - 1).alias("row"),
     )
     placed = materialize(placed, "placed")

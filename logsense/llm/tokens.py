@@ -20,12 +20,12 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +38,7 @@ INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CACHE_WORDS, CACHE_BYTES = 600_000, 64
 #: Bytes of text per file, for choosing the number of files.
 FILE_BYTES = 64 << 20
-MANIFEST = "file string, n_docs long, n_ids long, first_id long"
+MANIFEST = "file string, n_docs long, n_ids long, first_id long, part int"
 
 
 # The parts of a word-end BPE tokenizer whose tokens never span white space.
@@ -118,12 +118,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One per worker process, which encodes many files."""
-    return Encoder(path)
-
-
 def write_frames(out, documents: Iterable[tuple[int | None, bytes]], level: int = 3) -> tuple[int, int]:
     """Write (id, ids as bytes) in order as one file; number of documents and of token ids."""
     packer = zstandard.ZstdCompressor(level=level, write_content_size=True)
@@ -194,12 +188,12 @@ def write_token_files(
         first = None
         store, root = open_store(folder)
         store.create_dir(root, recursive=True)
+        encode = Encoder(tokenizer).encode
         name = f"ids-{uuid.uuid4().hex}.zst"
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             nonlocal first
             for ids, texts in batches_of(batches, "doc_id", "text"):
-                encode = encoder(tokenizer).encode
                 for doc_id, text in zip(ids, texts):
                     first = doc_id if first is None else first
                     yield doc_id, encode(text) + end
@@ -210,10 +204,15 @@ def write_token_files(
             store.delete_file(f"{root}/{name}")
             return
         yield pa.RecordBatch.from_pydict(
-            {"file": [name], "n_docs": [n_docs], "n_ids": [n_ids], "first_id": pa.array([first], pa.int64())}
+            {
+                "file": [name], "n_docs": [n_docs], "n_ids": [n_ids], "first_id": pa.array([first], pa.int64()),
+                "part": pa.array([TaskContext.get().partitionId()], pa.int32()),
+            }
         )
 
-    ranged = slim.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # rows without an id, or of one id, may fill several ranges
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ranged = slim.repartitionByRange(files, *order).sortWithinPartitions(*order)
     return materialize(ranged.mapInArrow(run, MANIFEST), "token-files")
 
 
@@ -243,7 +242,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     }
                 )
 
-    before = Window.orderBy(F.col("first_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     spread = placed.select("file", "base").repartition(manifest.sparkSession.sparkContext.defaultParallelism * 4)
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, file string, frame int")
