@@ -28,11 +28,22 @@ def marked_tokens(text: Column) -> Column:
 
     A name is a capitalised word after a word or comma and a blank or line break, not at the start of a sentence.
     """
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0001\u0002]", " ")
-    text = F.regexp_replace(text, r"(?<=[0-9])[.,](?=[0-9])", "")
-    text = F.regexp_replace(text, rf"(?i)(?<=[0-9]) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
-    text = F.regexp_replace(text, r"(?<=[\p{L}0-9,;](?: |\r?\n))(?=\p{Lu}\p{Ll})", _NAME)
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}\x01\x02]+"), "")
+    text = F.coalesce(text, F.lit(""))
+    text = F.when(text.contains(_NAME) | text.contains(_UNIT), F.translate(text, _NAME + _UNIT, "  ")).otherwise(text)
+    numbers = F.regexp_replace(text, r"[.,](?<=[0-9][.,])(?=[0-9])", "")
+    units = F.regexp_replace(numbers, rf"(?i)(?<=[0-9]) ?({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f" {_UNIT}$1")
+    text = F.when(text.rlike("[0-9]"), units).otherwise(text)
+    # the cheaper test comes first at each place
+    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}0-9,;](?: |\r?\n))", _NAME)
+    return F.split(F.lower(text), r"[^\p{L}\p{N}\x01\x02]+")
+
+
+def with_tokens(df: DataFrame, text: Column) -> DataFrame:
+    """``df`` with the column ``tok`` of its marked tokens; only the first and last part of a split can be empty."""
+    parts = df.withColumn("tok", marked_tokens(text))
+    before = (F.get("tok", F.lit(0)) == "").cast("int")
+    after = (F.element_at("tok", -1) == "").cast("int")
+    return parts.withColumn("tok", F.slice("tok", before + 1, F.greatest(F.size("tok") - before - after, F.lit(0))))
 
 
 def _kind(token: Column) -> Column:
@@ -50,20 +61,28 @@ def _special(token: Column) -> Column:
     return token < ":"
 
 
+#: Forms of a token: all placeholders, names as plain words, bare.
+_FORMS = ("named", "plain", "raw")
+
+
+def _token_hashes(form: str) -> Column:
+    def of(x: Column) -> Column:
+        special = {"named": _kind(x), "plain": F.when(x < _UNIT, _bare(x)).otherwise(_kind(x)), "raw": _bare(x)}[form]
+        return F.when(_special(x), F.xxhash64(special)).otherwise(F.xxhash64(x))
+
+    return F.transform("tok", of).alias(form)
+
+
 def _window_key(form: str, width: int = WINDOW) -> Column:
-    """Hash of the tokens from ``at`` on: with all placeholders, with names as plain words, or bare."""
-    values = []
-    for k in range(width):
-        x = F.get("tok", F.col("at") + k)
-        special = {"named": _kind(x), "plain": F.when(x < "\u0002", _bare(x)).otherwise(_kind(x)), "raw": _bare(x), "words": x}[form]
-        values.append(x if form == "words" else F.when(_special(x), special).otherwise(x))
-    return F.xxhash64(*([] if width == WINDOW else [F.lit(width)]), *values)
+    """Hash of the tokens from ``at`` on, in one of their forms."""
+    return F.xxhash64(*([] if width == WINDOW else [F.lit(width)]), *[F.get(form, F.col("at") + k) for k in range(width)])
 
 
 def _places(texts: DataFrame, *keys: str, least: int = WINDOW) -> DataFrame:
-    """(keys, tok, at): a row for each place of a text with ``least`` tokens from there."""
+    """(keys, tok, hashes of tokens per form, at): a row for each place of a text with ``least`` tokens from there."""
+    hashed = texts.select(*keys, "tok", *map(_token_hashes, _FORMS))
     starts = F.when(F.size("tok") >= least, F.sequence(F.lit(0), F.size("tok") - least))
-    return texts.select(*keys, "tok", F.explode(starts).alias("at"))
+    return hashed.select(*keys, "tok", *_FORMS, F.explode(starts).alias("at"))
 
 
 def _slots(tok: str, at: str) -> Column:
@@ -78,7 +97,8 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     a document in one case has no names to be seen. ``typed``: one of the latter two is there (``template``: it is this
     window); ``n_windows`` counts these places and ``n_all`` all. An item of fewer tokens than a window is one window of bare tokens.
     """
-    items = benchmark.select(F.col(id_col).alias("item_id"), marked_tokens(F.col(text_col)).alias("tok")).where("item_id is not null")
+    items = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null")
+    items = with_tokens(items, F.col("text")).select("item_id", "tok")
     items = items.withColumn("item_key", F.xxhash64("tok"))
     kinds = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), _kind)
     words = F.size(F.filter(kinds, lambda x: x.isNull()))
@@ -92,7 +112,7 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     )
     long = long.withColumn("template", F.array_contains("templates", F.col("window"))).drop("templates")
     width = F.size("tok")
-    short = items.where(width.between(1, WINDOW - 1)).select("item_id", "item_key", "tok", F.lit(0).alias("at"))
+    short = items.where(width.between(1, WINDOW - 1)).select("item_id", "item_key", "tok", _token_hashes("raw"), F.lit(0).alias("at"))
     key = F.coalesce(*[F.when(width == k, _window_key("raw", k)) for k in range(1, WINDOW)])
     short = short.select(
         "item_id", "item_key", F.col("at").alias("item_at"), width.alias("width"), F.lit(False).alias("typed"),
@@ -115,14 +135,12 @@ def _document_windows(docs: DataFrame, short: list[int]) -> DataFrame:
     """
     keyed = docs.withColumn("row", F.xxhash64("tok"))
     placed = _places(keyed, "doc_id", "row", least=min([WINDOW, *short]))
-    tokens = [F.get("tok", F.col("at") + k) for k in range(WINDOW)]
-    special = F.lit(False)
-    for x in tokens:
-        special = special | F.coalesce(_special(x), F.lit(False))
+    named, plain, raw = map(_window_key, _FORMS)
+    special = named != raw
+    slots = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), lambda x: F.when(_special(x), _bare(x)))
+    slots = F.when(special, slots).alias("doc_slots")
     left = F.size("tok") - F.col("at")
-    slots = F.when(special, F.array(*[F.when(_special(x), _bare(x)) for x in tokens])).alias("doc_slots")
-    words = F.array(_window_key("words"))
-    forms = F.when(special, F.array(*[_window_key(form) for form in ("named", "plain", "raw")])).otherwise(words)
+    forms = F.when(special, F.array(named, plain, raw)).otherwise(F.array(named))
     if short:
         none = F.array().cast("array<bigint>")
         parts = [F.when(left >= WINDOW, forms).otherwise(none)]
@@ -152,7 +170,8 @@ def contaminated(
     items = materialize(item_windows(benchmark, item_id_col, item_text_col), "item-windows")
     widths = {r["width"]: r["count"] for r in items.groupBy("width").count().collect()}
     small = sum(widths.values()) <= BROADCAST_WINDOWS
-    slim = docs.select(F.col(id_col).alias("doc_id"), marked_tokens(F.col(text_col)).alias("tok"))
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    slim = with_tokens(slim, F.col("text")).select("doc_id", "tok")
     windows = _document_windows(slim, sorted(k for k in widths if k < WINDOW))
     met = windows.join(F.broadcast(items) if small else items, "window")
     # a value of the item over a plain word of the document is that word
