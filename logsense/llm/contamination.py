@@ -137,8 +137,9 @@ def _document_windows(docs: DataFrame, short: list[int]) -> DataFrame:
     placed = _places(keyed, "doc_id", "row", least=min([WINDOW, *short]))
     named, plain, raw = map(_window_key, _FORMS)
     special = named != raw
-    slots = F.transform(F.slice("tok", F.col("at") + 1, WINDOW), lambda x: F.when(_special(x), _bare(x)))
-    slots = F.when(special, slots).alias("doc_slots")
+    # no lambda here: it would cut the generated code in two, and rows with whole texts would be passed on
+    tokens = [F.get("tok", F.col("at") + k) for k in range(WINDOW)]
+    slots = F.when(special, F.array(*[F.when(_special(x), _bare(x)) for x in tokens])).alias("doc_slots")
     left = F.size("tok") - F.col("at")
     forms = F.when(special, F.array(named, plain, raw)).otherwise(F.array(named))
     if short:
