@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
 from logsense.functions.correction import WILDCARD, with_correction
-from logsense.functions.tokens import route_key, template_id, text_key, tokens_of, wide_hash
+from logsense.functions.tokens import route_key, template_id, tokens_of, wide_hash
 from logsense.operators.frequency import distinct_messages
 from logsense.operators.joins import lookup_join
+from logsense.operators.template_trie import TemplateTrie
 from logsense.session import materialize
+from logsense.sources.paths import open_path
 
 
 def template_table(assigned: DataFrame, config: MinerConfig = MinerConfig()) -> DataFrame:
@@ -39,50 +46,76 @@ def describe_templates(sized: DataFrame, config: MinerConfig = MinerConfig()) ->
 def match_messages(messages: DataFrame, templates: DataFrame) -> DataFrame:
     """Distinct ``message, n`` -> the same rows with ``template, cluster_id`` or nulls.
 
-    Both inputs are read twice: pass stored tables.
-
-    A template matches a message of equal length whose tokens equal all its constants. Rather
-    than try every template of a length, a message is masked once per distinct wildcard layout of
-    its length and first token, and the masked text is looked up by equality. The match with the
-    most constants wins, then the smallest id. Templates that hold many messages are looked up
-    in a broadcast, so the messages of one template never crowd into one task.
+    A template matches a message of equal length whose tokens equal all its constants; the match with the most constants
+    wins, then the smallest id. The templates are stored in parts of at most TRIE_BYTES by length and first token, and a
+    task builds the trie of a part when it meets a message for it. One part needs no shuffle; with more, a
+    message goes to the part of its own first token and to that of the wildcard, and the better match is kept. The messages
+    of a part are dealt over SALTS tasks, so that one that holds most of them is no bottleneck.
     """
-    known = templates.select(
-        text_key(F.col("template")).alias("_key"),
-        "template",
-        "cluster_id",
-        "size",
-        F.size("tokens").alias("_len"),
-        F.col("tokens")[0].alias("_lead"),
-        F.transform("tokens", lambda t: t == WILDCARD).alias("_mask"),
-        F.size(F.filter("tokens", lambda t: t != WILDCARD)).alias("_constants"),
-    )
-    layouts = known.select("_len", "_lead", "_mask").distinct()
+    size = templates.agg(F.sum(F.octet_length("template") + _TRIE_OVERHEAD)).first()[0] or 0
+    parts = max(1, -(-size // TRIE_BYTES))
+    tokens = tokens_of(F.col("template"))
+    part = F.pmod(F.xxhash64(F.size(tokens), F.get(tokens, F.lit(0))), F.lit(parts)).cast("int")
+    slim = templates.select("template", "cluster_id", part.alias("part"))
+    stored = materialize(slim.repartition(parts, "part"), "tries", ("part",))
+    folder = stored._logsense_path
+    named = messages.select("message", "n", tokens_of(F.col("message")).alias("tokens"))
+    if parts == 1:
+        return named.withColumn("part", F.lit(0)).mapInArrow(_matcher(folder), _MATCHED).select("message", "n", "template", "cluster_id")
     ids = ["id_a", "id_b"]
-    named = messages.select("message", "n", *wide_hash("id", F.col("message")))
-    leads = F.array_distinct(F.array(F.col("_tokens")[0], F.lit(WILDCARD)))
-    tries = (
-        named.withColumn("_tokens", tokens_of(F.col("message")))
-        .select(*ids, "_tokens", F.size("_tokens").alias("_len"), F.explode_outer(leads).alias("_lead"))
-        .join(layouts, ["_len", "_lead"])
-        .select(*ids, text_key(_masked("_tokens", "_mask")).alias("_key"))
-    )
-    known = known.select("_key", "size", "_constants", "cluster_id", "template")
-    hit = F.struct("_constants", (-F.col("cluster_id")).alias("_order"), "cluster_id", "template")
-    found = lookup_join(tries, known, "_key", "size", how="inner").select(
-        F.lit(None).cast("string").alias("message"), F.lit(None).cast("bigint").alias("n"), *ids, hit.alias("_hit")
-    )
-    nothing = named.withColumn("_hit", F.lit(None).cast(found.schema["_hit"].dataType))
-    return (
-        nothing.unionByName(found)
-        .groupBy(*ids)
-        .agg(F.max("message").alias("message"), F.max("n").alias("n"), F.max("_hit").alias("_hit"))
-        .select("message", "n", "_hit.template", "_hit.cluster_id")
-    )
-
-
-def _masked(tokens: str, mask: str) -> Column:
-    return F.array_join(F.zip_with(tokens, mask, lambda t, m: F.when(m, WILDCARD).otherwise(t)), " ")
+    keyed = materialize(named.select(*wide_hash("id", F.col("message")), "message", "n"), "named")
+    tokens = tokens_of(F.col("message"))
+    leads = F.array_distinct(F.array(F.get(tokens, F.lit(0)), F.lit(WILDCARD)))
+    tries = keyed.select(*ids, tokens.alias("tokens"), F.explode(leads).alias("_lead")).select(
+        *ids, "tokens", F.pmod(F.xxhash64(F.size("tokens"), "_lead"), F.lit(parts)).cast("int").alias("part")
+    ).distinct()
+    dealt = tries.repartition("part", F.pmod("id_a", F.lit(SALTS))).sortWithinPartitions("part")
+    found = dealt.mapInArrow(_matcher(folder, ids), f"id_a bigint, id_b bigint, {_HIT}").filter("template is not null")
+    best = found.groupBy(*ids).agg(F.max(F.struct("constants", (-F.col("cluster_id")).alias("_order"), "template", "cluster_id")).alias("_hit"))
+    return keyed.join(best, ids, "left").select("message", "n", "_hit.template", "_hit.cluster_id")
+
+
+#: Most bytes of templates in a trie, counting a fixed number for each.
+TRIE_BYTES, _TRIE_OVERHEAD = 32 << 20, 256
+SALTS = 64
+_HIT = "template string, cluster_id bigint, constants int"
+_MATCHED = f"message string, n bigint, {_HIT}"
+
+
+def _matcher(folder: str, kept: Sequence[str] = ("message", "n")) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(kept, tokens, part) -> (kept, template, cluster_id, constants), with the tries below ``folder``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded, trie = None, TemplateTrie([])
+        for batch in batches:
+            out: list[tuple] = []
+            for tokens, part in zip(batch.column("tokens").to_pylist(), batch.column("part").to_pylist()):
+                if part != loaded:
+                    trie, loaded = TemplateTrie(_read_part(folder, part)), part
+                place = trie.best(tokens) if tokens else None
+                if place is None:
+                    out.append((None, None, None))
+                else:
+                    template, cluster_id = trie.templates[place]
+                    out.append((template, cluster_id, sum(t != WILDCARD for t in template.split(" "))))
+            names, ids, constants = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(ids, pa.int64()), pa.array(constants, pa.int32())],
+                names=[*kept, "template", "cluster_id", "constants"],
+            )
+
+    return run
+
+
+def _read_part(folder: str, part: int) -> list[tuple[str, int]]:
+    system, root = open_path(f"{folder}/part={part}")
+    files = system.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    found: list[tuple[str, int]] = []
+    for info in files:
+        if info.base_name.endswith(".parquet"):
+            table = pq.read_table(info.path, filesystem=system, columns=["template", "cluster_id"], partitioning=None)
+            found += zip(table["template"].to_pylist(), table["cluster_id"].to_pylist())
+    return found
 
 
 def message_templates(logs: DataFrame, templates: DataFrame, message_col: str = "message") -> DataFrame:

@@ -75,4 +75,15 @@ def materialize(df: DataFrame, label: str = "table", partition_by: tuple[str, ..
         spark.conf.set(_DROP_SHUFFLES, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._logsense_stored = True
+    stored._logsense_path = path
     return stored
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again; others are left alone."""
+    for table in tables:
+        path = getattr(table, "_logsense_path", None)
+        if path:
+            context = table.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logsense.config import MinerConfig
-from logsense.operators import joins, mining
+from logsense.operators import joins, mining, templates
 from logsense.operators.frequency import assign_frequency_templates, distinct_messages
 from logsense.operators.joins import lookup_join
 from logsense.operators.mining import merge_similar, mine_assignments, mine_templates, routed_messages
@@ -125,6 +125,29 @@ def test_match_equals_brute_force(spark):
         assert got[text] == best, text
 
 
+@pytest.mark.parametrize("bound", [1 << 25, 300_000])
+def test_many_layouts_of_one_length(spark, monkeypatch, bound):
+    """10 000 layouts of wildcards; with a small bound the templates come in many parts."""
+    monkeypatch.setattr(templates, "TRIE_BYTES", bound)
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(3)]
+    layouts = rng.sample(range(1 << 14), 10_000)
+    known = {" ".join("<*>" if layout >> k & 1 else rng.choice(words) for k in range(14)) for layout in layouts}
+    assert len(known) == 10_000
+    texts = sorted({" ".join(rng.choice([*words, "<*>"]) for _ in range(14)) for _ in range(150)} | {"w0", ""})
+    table = describe_templates(spark.createDataFrame([(t, 1) for t in known], "template string, size bigint"))
+    ids = {r.template: r.cluster_id for r in table.select("template", "cluster_id").collect()}
+    messages = spark.createDataFrame([(t, 1) for t in texts], "message string, n bigint")
+    got = {r.message: r.template for r in match_messages(messages, table).collect()}
+    assert len(got) == len(texts)
+    split = [(t, t.split(" ")) for t in known]
+    for text in texts:
+        tokens = text.split(" ")
+        fit = [t for t, own in split if len(own) == len(tokens) and all(x in ("<*>", y) for x, y in zip(own, tokens))]
+        best = min(fit, key=lambda t: (t.split(" ").count("<*>"), ids[t])) if fit else None
+        assert got[text] == best, text
+
+
 def test_rows_keep_their_number_and_new_messages_show(spark):
     table = describe_templates(spark.createDataFrame([("a <*>", 1)], "template string, size bigint"))
     logs = spark.createDataFrame(
