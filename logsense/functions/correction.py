@@ -22,6 +22,7 @@ MIXED_TOKEN = r'''(?:(?<=^)|(?<=[\s,;:(){}\[\]"\'\']))[^ ,\s;:(){}\[\]"\'\']*<\*
 DOTTED_CHAIN = r"(?:<\*>\s*\.\s*)+<\*>"
 WILDCARD_RUN = r"(?:<\*>\s*)+<\*>"
 BLANK_RUN = r"[ \t]{2,}"
+BEFORE_USER_TERMS, AFTER_USER_TERMS = r"(?<!\w)(?:", r")(?!\w)"
 # -----------------------------------------------------------------------------------------
 _ANY_CASE = "(?iuUd)"
 
@@ -30,7 +31,7 @@ def _user_terms_pattern(terms: Iterable[str]) -> str | None:
     distinct = sorted({t for t in terms if t}, key=lambda t: (-len(t), t))
     if not distinct:
         return None
-    return r"(?<!\w)(?:" + "|".join(re.sub(r"([^\w\s])", r"\\\1", t) for t in distinct) + r")(?!\w)"
+    return BEFORE_USER_TERMS + "|".join(re.sub(r"([^\w\s])", r"\\\1", t) for t in distinct) + AFTER_USER_TERMS
 
 
 def correct_template(template: Column, user_strings: Iterable[str] = ()) -> Column:

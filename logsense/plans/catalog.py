@@ -548,6 +548,15 @@ def pca_projection_sample(spark, sf_dir):
     return project_2d(near, "vec_id", sample_size=300)
 
 
+def pca_variances(spark, sf_dir):
+    """Variance of all points along the two axes, and their covariance: free of the axes' signs."""
+    near = assign(embeddings(spark, sf_dir), label_model(spark, sf_dir, None))
+    return project_2d(near, "vec_id").agg(
+        F.round(F.var_samp("pc1"), 5).alias("var1"), F.round(F.var_samp("pc2"), 5).alias("var2"),
+        (F.abs(F.covar_samp("pc1", "pc2")) < 1e-9).alias("apart"), F.count("*").alias("n"),
+    )
+
+
 # -- whole runs ---------------------------------------------------------------------------
 
 
@@ -772,7 +781,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         nearest_centers, label_inertia, cluster_thresholds, cluster_thresholds_large, cluster_thresholds_sketch, common_threshold,
         anomalies_per_cluster, anomalies_common, scores_open_cluster,
         cluster_quality, silhouette_fast, k_eval, k_suggestion, k_elbow, k_metric_series, vector_sample,
-        kmeans_fit, minibatch_fit, k_sweep, k_sweep_given, kmeans_auto_k, lloyd_rounds, power_rounds, pca_projection, pca_projection_sample,
+        kmeans_fit, minibatch_fit, k_sweep, k_sweep_given, kmeans_auto_k, lloyd_rounds, power_rounds, pca_projection, pca_projection_sample, pca_variances,
         detect_events, detection_rows, train_and_detect,
         text_file_lines, text_file_entries, text_file_parse, parsed_csv_roundtrip, templates_json_roundtrip, embeddings_roundtrip, model_roundtrip,
         evaluations_roundtrip, report_csv_roundtrip, projection_csv_roundtrip, unreadable_files,

@@ -290,6 +290,29 @@ _THRESHOLDS = (
 _COMMON = "(SELECT quantile_cont(distance, 0.9) FROM near)"
 _ENTRIES = "SELECT doc_id, start_line_no, raw, n_lines FROM entries"
 
+def _axis(name: str, matrix: str) -> str:
+    """Relation ``name`` (v, l): the unit vector to which 1000 products with the matrix m of a relation lead, and its eigenvalue."""
+    product = "list_transform(m, lambda r: list_dot_product(r, v))"
+    return f"""
+{name}_steps(k, v) AS (
+  SELECT 0, list_transform(range(len(m)), lambda i: 1.0::DOUBLE / (i + 1)) FROM {matrix}
+  UNION ALL SELECT k + 1, list_transform({product}, lambda x: x / sqrt(list_dot_product({product}, {product})))
+  FROM {name}_steps, {matrix} WHERE k < 1000),
+{name} AS (SELECT v, list_dot_product(v, {product}) AS l FROM {name}_steps, {matrix} WHERE k = 1000)"""
+
+
+_PCA = f"""
+cells AS (SELECT vec_id, unnest(v) AS x, unnest(range(0, len(v))) AS pos FROM vecs),
+flat AS (SELECT vec_id, pos, x - avg(x) OVER (PARTITION BY pos) AS x FROM cells),
+cov AS (
+  SELECT a.pos AS i, b.pos AS j, sum(a.x * b.x) / (count(*) - 1) AS c FROM flat a JOIN flat b USING (vec_id) GROUP BY ALL),
+whole AS MATERIALIZED (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(c ORDER BY j) AS r FROM cov GROUP BY i)),
+{_axis("one", "whole")},
+rest AS MATERIALIZED (
+  SELECT list_transform(range(len(m)), lambda i: list_transform(range(len(m)), lambda j: m[i + 1][j + 1] - l * v[i + 1] * v[j + 1])) AS m
+  FROM whole, one),
+{_axis("two", "rest")}"""
+
 ORACLE: dict[str, str] = {
     "events_level_counts": f"WITH {EVENTS} SELECT level, component, count(*) AS n FROM parsed GROUP BY ALL",
     "events_parse": f"WITH {EVENTS} SELECT event_id, {_PARSED} FROM parsed",
@@ -359,6 +382,8 @@ SELECT round(avg((o - i) / greatest(o, i)), 6) AS silhouette FROM points""",
     "lloyd_rounds": f"WITH {VECS}, {_lloyd(3)}, o AS (SELECT cluster, unnest(c) AS value, unnest(range(0, len(c)))::INTEGER AS pos FROM m3) "
     "SELECT cluster, pos, round(value, 6) AS value FROM o",
     "power_rounds": f"WITH {VECS}, {_power(3)} SELECT pos::INTEGER AS pos, round(w, 6) AS value FROM p3",
+    "pca_variances": f"WITH RECURSIVE {VECS}, {_PCA} SELECT round(one.l, 5) AS var1, round(two.l, 5) AS var2, true AS apart, "
+    "(SELECT count(*) FROM vecs) AS n FROM one, two",
     "vector_sample": "SELECT vec_id, label FROM embeddings ORDER BY md5(vec_id || ':42'), vec_id LIMIT 200",
     "detect_events": f"WITH {DETECTED} SELECT event_id, level, component, template, is_new, {_FOUND} FROM found",
     "detection_rows": f"WITH {MATCHED}, {_vectors('matched', 'template')} SELECT event_id, is_new, round(sum(value), 6) AS total "
