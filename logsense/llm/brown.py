@@ -34,7 +34,9 @@ BLOCK, PARTS = 1024, 64
 
 @dataclass(frozen=True)
 class BrownConfig:
-    """``backoff``: weight, in tokens, of the class frequencies in the transition probabilities."""
+    """``backoff``: weight, in tokens, of the class frequencies in the transition probabilities. ``sweeps``: the most
+    exchange sweeps; they stop when one no longer raises the likelihood.
+    """
 
     classes: int = 32
     exchange: int = 16384
@@ -226,6 +228,13 @@ def exchange_sweep(classes: np.ndarray, before: np.ndarray, after: np.ndarray, b
     return classes
 
 
+def likelihood(bigrams: np.ndarray) -> float:
+    """The part of the texts' log likelihood that depends on the classes."""
+    n = bigrams.astype(np.float64)
+    f = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    return f(n) - f(n.sum(axis=0)) - f(n.sum(axis=1))
+
+
 @dataclass(frozen=True)
 class BrownModel:
     """``log_step[c, d]`` and, per exchanged word, ``log_emit`` in its class; ``classes`` of these words."""
@@ -243,10 +252,14 @@ def _fit(encoded: DataFrame, head: list, n_texts: int, n_words: int, n_distinct:
     classes = np.arange(len(own)) % config.classes
     padded = lambda c: np.append(c, np.full(config.exchange - len(c), config.other))
     bigrams = np.zeros((config.all_classes, config.all_classes), np.int64)
+    best = -np.inf
     for sweep in range(config.sweeps + 1):
-        before, after, bigrams = _neighbours(encoded, padded(classes), config)
+        before, after, found = _neighbours(encoded, padded(now := classes if sweep == 0 else moved), config)
+        if (value := likelihood(found)) <= best:
+            break  # the last sweep made it no better: the classes before it stay
+        best, classes, bigrams = value, now, found
         if sweep < config.sweeps:
-            classes = exchange_sweep(classes, before, after, bigrams, config)
+            moved = exchange_sweep(classes, before, after, bigrams, config)
     into = bigrams.sum(axis=0)
     plain = (into + 1) / (into.sum() + config.all_classes)
     step = (bigrams + config.backoff * plain) / (bigrams.sum(axis=1, keepdims=True) + config.backoff)
