@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from logsense.llm.streams import disk_state, stream_table
+from logsense.llm.streams import stream_table
 from logsense.llm.texts import words
 from logsense.session import scratch_path
+from logsense.streaming.state import disk_state
 
 #: Micro-batches in which a table is taken.
 BATCHES = 3

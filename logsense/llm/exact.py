@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsense.llm.streams import disk_state, stream_table
+from logsense.llm.streams import stream_table
 from logsense.operators.joins import lookup_join
 from logsense.session import materialize, scratch_path
+from logsense.streaming.state import disk_state
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Micro-batches in which a table is taken.

@@ -1,35 +1,9 @@
-"""Tables read as streams of files, with keyed state on disk."""
+"""Tables read as streams of files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
-#: State lives in RocksDB on the executors' disks, and its changes go to the checkpoint with each batch.
-_STATE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # many small stores: no space is set aside for their logs
-    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
-
-
-@contextmanager
-def disk_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state on disk; the session's own settings come back afterwards."""
-    before = {name: spark.conf.get(name, None) for name in _STATE}
-    for name, value in _STATE.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
 
 def stream_table(spark: SparkSession, path: str, batches: int) -> DataFrame:
     """The files of a Parquet table, a single file or a folder, as a stream of about so many micro-batches."""
