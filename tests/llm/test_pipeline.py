@@ -106,7 +106,7 @@ def test_clean_documents_stay_in_filters(spark, make_docs, tmp_path):
 def test_registration():
     names = set(__spark_entry__.queries())
     assert {*QUERIES, "pipeline"} <= names and set(ORACLE) <= set(QUERIES)
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
