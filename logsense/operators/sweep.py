@@ -26,6 +26,8 @@ from logsense.session import materialize
 
 #: Centers that move no further than this have converged.
 TOLERANCE = 1e-4
+#: Products of vectors and centers that are held at once.
+_CELLS = 1 << 22
 _PARTIAL = "model int, cluster int, n bigint, total array<double>, d double, dd double"
 
 #: Block of rows -> (model, cluster of each row, distance of each row), for every model.
@@ -121,9 +123,21 @@ def lloyd_step(vectors: DataFrame, centers: Sequence[np.ndarray], vector_col: st
     _checked([len(c) for c in centers])
     shared = [np.asarray(c, np.float64) for c in centers]
 
+    every = np.concatenate(shared)
+    squares = np.einsum("ij,ij->i", every, every)
+    edges = np.concatenate([[0], np.cumsum([len(c) for c in shared])])
+    rows_at_once = max(1, _CELLS // len(every))
+
     def look(x: np.ndarray) -> Iterator[tuple]:
-        for model, c in enumerate(shared):
-            yield model, *nearest_rows(x, c)
+        # one product with the centers of all models; a row's own square does not change which is the nearest
+        which = np.empty((len(shared), len(x)), np.int64)
+        for lo in range(0, len(x), rows_at_once):
+            block = slice(lo, lo + rows_at_once)
+            far = np.round(squares - 2.0 * (x[block] @ every.T), 12)
+            for model, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                which[model, block] = far[:, a:b].argmin(axis=1)
+        for model in range(len(shared)):
+            yield model, which[model], np.zeros(len(x))
 
     found = _pass(_known(vectors, vector_col), shared[0].shape[1], [len(c) for c in shared], lambda: look)
     moved = [c.copy() for c in shared]
