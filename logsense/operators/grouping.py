@@ -40,6 +40,13 @@ def entry_members(
     be gap-free. A file is worked on in blocks: only the last start line of each block crosses
     to the blocks behind it, so one huge file spreads over the whole cluster.
     """
+    return collect_members(entry_lines(lines, config, is_start))
+
+
+def entry_lines(
+    lines: DataFrame, config: ParserConfig = ParserConfig(), is_start: Column | None = None
+) -> DataFrame:
+    """The lines with ``_entry`` and ``_chunk``, which tell the entry that holds them."""
     start = is_entry_start(F.col("line"), config) if is_start is None else is_start
     if "block" not in lines.columns:
         lines = lines.withColumn("block", F.floor(F.col("line_no") / LINES_PER_BLOCK))
@@ -64,10 +71,14 @@ def entry_members(
     chunk = F.lit(0).cast("bigint")
     if config.max_lines:
         chunk = F.floor((F.col("line_no") - F.col("_entry")) / config.max_lines)
+    return opened.select("log_file", "line_no", "line", "_entry", chunk.alias("_chunk"))
+
+
+def collect_members(placed: DataFrame) -> DataFrame:
+    """``log_file, start_line_no, members`` of the lines of ``entry_lines``."""
     members = F.array_sort(F.collect_list(F.struct("line_no", "line")))
     return (
-        opened.withColumn("_chunk", chunk)
-        .groupBy("log_file", "_entry", "_chunk")
+        placed.groupBy("log_file", "_entry", "_chunk")
         .agg(F.min("line_no").alias("start_line_no"), members.alias("members"))
         .select("log_file", "start_line_no", "members")
     )

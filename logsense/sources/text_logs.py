@@ -46,7 +46,7 @@ def read_raw_lines(
     """
     root = path.rstrip("/") or "/"
     reader = spark.read.option("ignoreMissingFiles", skip_unreadable).option("ignoreCorruptFiles", skip_unreadable)
-    if _is_file(spark, root):
+    if is_file(spark, root):
         files = reader.text(root)
     elif "**" in pattern:
         tail = pattern.rsplit("/", 1)[-1]
@@ -77,7 +77,7 @@ def _plain(path: str) -> str:
     return path.removeprefix("file://").removeprefix("file:")
 
 
-def _is_file(spark: SparkSession, path: str) -> bool:
+def is_file(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hadoop) and fs.getFileStatus(hadoop).isFile()

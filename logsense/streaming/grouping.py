@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logsense.config import ParserConfig
-from logsense.operators.grouping import entry_members, join_members
-from logsense.session import materialize
+from logsense.operators.grouping import collect_members, entry_lines, join_members
+from logsense.session import materialize, release
 from logsense.streaming.jobs import start
 
 STATE_SCHEMA = (
@@ -41,7 +41,8 @@ class StreamGrouping:
 
     def state_before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         if batch_id == 0:
-            return spark.createDataFrame([], STATE_SCHEMA)
+            # known to be empty when planned, so that the first batch, often the largest, is joined to nothing
+            return spark.createDataFrame([], STATE_SCHEMA).filter(F.lit(False))
         return spark.read.schema(STATE_SCHEMA).parquet(f"{self.state_path}/batch={batch_id - 1}")
 
     def run_batch(self, batch: DataFrame, batch_id: int, now: float | None = None) -> None:
@@ -55,15 +56,22 @@ class StreamGrouping:
             .withColumn("late", F.coalesce(F.col("line_no") < F.col("next_line_no"), F.lit(False))),
             "incoming",
         )
+        incoming.filter("late").select("log_file", "line_no", "line").write.mode("overwrite").parquet(
+            f"{self.late_path}/batch={batch_id}"
+        )
         held = state.select("log_file", F.explode("members").alias("m")).select("log_file", "m.line_no", "m.line")
         fresh = incoming.filter(~F.col("late")).select("log_file", "line_no", "line")
-        entries = materialize(entry_members(held.unionByName(fresh), self.config), "entries")
+        active = materialize(fresh.select("log_file").distinct(), "active").withColumn("active", F.lit(True))
+        # each step's table goes when the next one is stored, so the disk holds the texts of a batch three times at most
+        placed = materialize(entry_lines(held.unionByName(fresh), self.config), "lines")
+        release(incoming)
+        entries = materialize(collect_members(placed), "entries")
+        release(placed)
 
         last = entries.groupBy("log_file").agg(
             F.max("start_line_no").alias("last_start"),
             F.max(F.element_at("members", -1)["line_no"]).alias("last_line"),
         )
-        active = fresh.select("log_file").distinct().withColumn("active", F.lit(True))
         files = (
             last.join(frontier, "log_file", "full")
             .join(active, "log_file", "left")
@@ -77,16 +85,15 @@ class StreamGrouping:
         if self.config.max_lines:
             full = F.size("members") >= self.config.max_lines
         keep = (F.col("start_line_no") == F.col("last_start")) & ~F.col("idle") & ~full
-        placed = entries.join(files, "log_file").withColumn("_open", keep)
+        judged = materialize(entries.join(files, "log_file").select(*entries.columns, keep.alias("_open")), "judged", ("_open",))
+        release(entries)
 
-        opened = placed.filter("_open").select("log_file", "start_line_no", "members")
+        opened = judged.filter("_open").select("log_file", "start_line_no", "members")
         files.select("log_file", "next_line_no", "seen").join(opened, "log_file", "left").select(
             "log_file", "start_line_no", "members", "next_line_no", "seen"
         ).write.mode("overwrite").parquet(f"{self.state_path}/batch={batch_id}")
-        self._emit(placed.filter(~F.col("_open"))).write.mode("overwrite").parquet(f"{self.out_path}/batch={batch_id}")
-        incoming.filter("late").select("log_file", "line_no", "line").write.mode("overwrite").parquet(
-            f"{self.late_path}/batch={batch_id}"
-        )
+        self._emit(judged.filter(~F.col("_open"))).write.mode("overwrite").parquet(f"{self.out_path}/batch={batch_id}")
+        release(judged, files)
 
     def _emit(self, entries: DataFrame) -> DataFrame:
         return entries.select(

@@ -114,3 +114,13 @@ def test_queries_equal_sql(spark, name):
 
     sf_dir = "/root/testdata/sf0.001"
     assert compare(spark, duck(sf_dir), name, sf_dir).startswith("ok")
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stream_of_documents_in_part_files(spark, tmp_path, parts):
+    rows = [(k, f"One {k}\ntwo\nThree {k}") for k in range(20)] + [(20, None), (21, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    docs.repartition(parts).write.parquet(str(tmp_path / "documents.parquet"))
+    queries = spark_entry.queries()
+    found, plain = (queries[q](spark, str(tmp_path)).collect() for q in ("stream_entries", "doc_entries"))
+    assert sorted(map(str, found)) == sorted(map(str, plain)) and len(plain) >= 40
