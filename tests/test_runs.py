@@ -124,3 +124,13 @@ def test_stream_of_documents_in_part_files(spark, tmp_path, parts):
     queries = spark_entry.queries()
     found, plain = (queries[q](spark, str(tmp_path)).collect() for q in ("stream_entries", "doc_entries"))
     assert sorted(map(str, found)) == sorted(map(str, plain)) and len(plain) >= 40
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_stream_of_vectors_in_part_files(spark, tmp_path, parts):
+    rows = [(k, [float(k % 2), float(k)], k % 2) for k in range(40)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    vectors.repartition(parts).write.parquet(str(tmp_path / "embeddings.parquet"))
+    queries = spark_entry.queries()
+    found, plain = (queries[q](spark, str(tmp_path)).collect() for q in ("stream_score", "anomalies_per_cluster"))
+    assert sorted(map(str, found)) == sorted(map(str, plain)) and plain
