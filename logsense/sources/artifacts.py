@@ -19,15 +19,17 @@ TEMPLATE_SCHEMA = (
 EMBEDDING_SCHEMA = "cluster_id bigint, template string, embedding array<double>"
 _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": "\\N",
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: Most rows of a CSV file. Quoted texts hold line feeds, so a file cannot be split: one task reads it whole.
+CSV_ROWS = 20_000
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Write any stage's table. CSV has no arrays, so there they are JSON text."""
+    """Write any stage's table. CSV has no arrays, so there they are JSON text, and its files have CSV_ROWS rows at most."""
     writer_options = {}
     if fmt == "csv":
         nested = {f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")}
         df = df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in df.columns])
-        writer_options = {k: v for k, v in _CSV.items() if k not in ("multiLine", "emptyValue")}
+        writer_options = {k: v for k, v in _CSV.items() if k not in ("multiLine", "emptyValue")} | {"maxRecordsPerFile": CSV_ROWS}
     df.write.options(**writer_options).mode(mode).format(fmt).save(path)
 
 

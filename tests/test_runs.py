@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from logsense.config import ClusterConfig, ParserConfig
@@ -134,3 +135,13 @@ def test_stream_of_vectors_in_part_files(spark, tmp_path, parts):
     queries = spark_entry.queries()
     found, plain = (queries[q](spark, str(tmp_path)).collect() for q in ("stream_score", "anomalies_per_cluster"))
     assert sorted(map(str, found)) == sorted(map(str, plain)) and plain
+
+
+def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(artifacts, "CSV_ROWS", 10)
+    rows = [("f", f"line {k}\nnext", "raw", None, None, None, 1, -1, None, 2, "", k) for k in range(95)]
+    df = spark.createDataFrame(rows, artifacts.PARSED_SCHEMA).coalesce(1)
+    artifacts.write_table(df, str(tmp_path / "csv"), "csv")
+    back = artifacts.read_parsed_logs(spark, str(tmp_path / "csv"), "csv").withColumn("file", F.input_file_name())
+    assert sorted(r["count"] for r in back.groupBy("file").count().collect()) == [5] + [10] * 9
+    assert sorted(map(str, back.drop("file").collect())) == sorted(map(str, df.collect()))
