@@ -87,20 +87,22 @@ def _matcher(folder: str, kept: Sequence[str] = ("message", "n")) -> Callable[[I
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded, trie = None, TemplateTrie([])
+        constants: list[int] = []
         for batch in batches:
             out: list[tuple] = []
             for tokens, part in zip(batch.column("tokens").to_pylist(), batch.column("part").to_pylist()):
                 if part != loaded:
                     trie, loaded = TemplateTrie(_read_part(folder, part)), part
+                    constants = [sum(t != WILDCARD for t in template.split(" ")) for template, _ in trie.templates]
                 place = trie.best(tokens) if tokens else None
                 if place is None:
                     out.append((None, None, None))
                 else:
                     template, cluster_id = trie.templates[place]
-                    out.append((template, cluster_id, sum(t != WILDCARD for t in template.split(" "))))
-            names, ids, constants = zip(*out) if out else ((), (), ())
+                    out.append((template, cluster_id, constants[place]))
+            names, ids, counts = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(ids, pa.int64()), pa.array(constants, pa.int32())],
+                [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(ids, pa.int64()), pa.array(counts, pa.int32())],
                 names=[*kept, "template", "cluster_id", "constants"],
             )
 

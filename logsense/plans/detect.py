@@ -12,7 +12,7 @@ from logsense.operators.embedding import Embedder, hashed_embedder
 from logsense.operators.joins import lookup_join
 from logsense.operators.scoring import find_anomalies
 from logsense.operators.templates import message_templates, with_templates
-from logsense.session import materialize
+from logsense.session import materialize, release
 
 
 def template_rows(
@@ -57,8 +57,12 @@ def detect(
     table of the same schema.
     """
     lookup = corrected_lookup(parsed, templates, miner)
-    distinct = lookup.groupBy("corrected_template").agg(F.sum("n").alias("_rows"))
-    scored = (embedder or hashed_embedder())(distinct, "corrected_template").drop("_rows")
-    odd = find_anomalies(scored, model, common=common)
+    # Both tables are stored, as the filter on the distance would else be run on all texts too, with the embedder: below the
+    # grouping and on the other side of the join.
+    partitions = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = lookup.select("corrected_template").distinct().repartition(partitions, F.xxhash64("corrected_template"))
+    distinct = materialize(distinct, "distinct")
+    odd = materialize(find_anomalies((embedder or hashed_embedder())(distinct, "corrected_template"), model, common=common), "odd")
     texts = materialize(lookup.join(odd, "corrected_template").drop("corrected_template"), "anomalies")
+    release(distinct, odd)
     return lookup_join(parsed, texts, "message", "n", how="inner")

@@ -145,3 +145,23 @@ def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
     back = artifacts.read_parsed_logs(spark, str(tmp_path / "csv"), "csv").withColumn("file", F.input_file_name())
     assert sorted(r["count"] for r in back.groupBy("file").count().collect()) == [5] + [10] * 9
     assert sorted(map(str, back.drop("file").collect())) == sorted(map(str, df.collect()))
+
+
+def test_detection_embeds_each_template_once(spark, tmp_path):
+    rows = [("f", f"known {k} fixed", "raw", None, None, None, 1, -1, None, 2, f"known {k} fixed", k) for k in range(60)]
+    parsed = spark.createDataFrame(rows + [("f", "odd", "raw", None, None, None, 1, -1, None, 2, "odd", 60)], artifacts.PARSED_SCHEMA)
+    templates = spark.createDataFrame([("known <*> fixed", 1)], "template string, cluster_id bigint")
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(df, text_col):
+        @F.udf("array<double>")
+        def one(text):
+            calls.add(1)
+            return [1.0 if text.startswith("known") else 0.0]
+
+        return df.withColumn("embedding", one(text_col))
+
+    model = center_model([0], [[1.0]], thresholds={0: 0.5})
+    found = detect(parsed, templates, model, counted).collect()
+    assert [r.message for r in found] == ["odd"]
+    assert calls.value <= 5  # the template, the odd text and the empty one; of anomalies the vector is made once more
