@@ -27,9 +27,10 @@ TASK_ROWS = 1 << 17
 
 
 def label_centers(vectors: DataFrame, label_col: str, vector_col: str = "embedding") -> ClusterModel:
-    """The mean vector of each label as a model."""
+    """The mean vector of each label as a model. Rows without a label or a vector do not count."""
+    known = vectors.filter(F.col(label_col).isNotNull() & F.col(vector_col).isNotNull())
     rows = (
-        vectors.groupBy(F.col(label_col).alias("label"))
+        known.groupBy(F.col(label_col).alias("label"))
         .agg(Summarizer.mean(array_to_vector(as_doubles(F.col(vector_col)))).alias("c"), F.count("*").alias("n"))
         .limit(MAX_CENTERS + 1)
         .collect()

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +138,21 @@ def test_stream_of_vectors_in_part_files(spark, tmp_path, parts):
     assert sorted(map(str, found)) == sorted(map(str, plain)) and plain
 
 
+def test_scores_of_a_table_with_missing_vectors_and_labels(spark, tmp_path):
+    rows = [(k, [float(k % 2), float(k)], k % 2) for k in range(40)] + [(40, [0.5, 500.0], None), (41, [3.0, 19.0], None)]
+    holes = [(42, None, 0), (43, None, 5), (44, None, None)]
+    vectors = spark.createDataFrame(rows + holes, "vec_id bigint, embedding array<float>, label int")
+    vectors.repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    x, labels = np.array([v for _, v, _ in rows]), np.array([-1 if n is None else n for _, _, n in rows])
+    distances = np.stack([np.linalg.norm(x - x[labels == n].mean(axis=0), axis=1) for n in (0, 1)], axis=1)
+    near, least = distances.argmin(axis=1), distances.min(axis=1)
+    limits = np.array([np.percentile(least[near == n], 90) for n in (0, 1)])[near]
+    want = [(k, near[k], least[k], limits[k]) for k in range(len(rows)) if least[k] > limits[k]]
+    for name in ("stream_score", "anomalies_per_cluster"):
+        found = spark_entry.queries()[name](spark, str(tmp_path)).collect()
+        assert np.allclose(sorted(map(tuple, found)), want, rtol=0, atol=1e-6) and 40 in [r.vec_id for r in found]
+
+
 def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(artifacts, "CSV_ROWS", 10)
     rows = [("f", f"line {k}\nnext", "raw", None, None, None, 1, -1, None, 2, "", k) for k in range(95)]
