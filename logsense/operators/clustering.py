@@ -83,6 +83,10 @@ def _features(vectors: DataFrame, vector_col: str) -> DataFrame:
 def _fit_lloyd(
     vectors: DataFrame, k: int, config: ClusterConfig, vector_col: str, id_col: str | None
 ) -> ClusterModel:
+    if k < 2:  # without a suggestion few vectors make one cluster, which Spark's KMeans refuses
+        known = vectors.filter(F.col(vector_col).isNotNull())
+        mean = known.agg(Summarizer.mean(array_to_vector(as_doubles(F.col(vector_col))))).first()[0]
+        return center_model([0], [mean.toArray()], method="kmeans")
     fitted = KMeans(k=k, maxIter=config.max_iter, seed=config.seed, initMode="k-means||").fit(
         _features(vectors, vector_col)
     )

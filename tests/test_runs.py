@@ -9,6 +9,7 @@ from logsense.config import ClusterConfig, ParserConfig
 from logsense.operators.clustering import assign, center_model
 from logsense.operators.embedding import hashed_embedder
 from logsense.operators.grouping import group_entries
+from logsense.plans import catalog
 from logsense.plans.detect import detect
 from logsense.plans.parse import parse_log_files, parse_new_file
 from logsense.plans.train import train
@@ -39,6 +40,24 @@ def test_train_then_detect(spark, tmp_path):
     assert calm.count() == 0 and "threshold" in calm.columns
 
 
+def test_train_and_detect_chooses_k(spark, tmp_path, monkeypatch):
+    """The number of clusters comes from the sweep over all k, not from a fixed value."""
+    words = ["red", "oak tree", "sun moon star", "salt sugar milk tea", "one two four six ten"]
+    rows = []
+    for i in range(60):
+        kind = ["view", "click", "error"][i % 3]
+        rows.append((i, i % 4, kind, f"{words[i % 5]} {kind} part{'abcdefgh'[i % 8]}"))
+    events = spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, props string")
+    events.withColumn("ts", F.timestamp_seconds("event_id")).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    monkeypatch.setattr(catalog, "train", lambda *args, **more: seen.append(train(*args, **more)) or seen[0])
+    found = catalog.train_and_detect(spark, str(tmp_path)).collect()
+    result, n = seen[0], seen[0].templates.count()
+    assert n > 4 and [r.k for r in result.evaluations.orderBy("k").collect()] == list(range(2, n + 1, 2))
+    assert result.model.k == result.suggestion.first().consensus_k
+    assert {r.cluster for r in found} <= set(result.model.ids.tolist()) and all(r.distance > r.threshold for r in found)
+
+
 def test_tables_survive_every_format(spark, tmp_path):
     rows = [("f", 'say "hi", ok\nnext', "raw", None, "null", "NA", 1, -1, None, 2, " padded ", 1), ("f", "", "raw", "", None, None, 1, -1, None, 2, "", 2)]
     df = spark.createDataFrame(rows, artifacts.PARSED_SCHEMA)

@@ -132,6 +132,12 @@ def test_sweep_and_choice(spark, vectors):
     assert train_clusters(vectors, "id", ClusterConfig(k=3))[0].k == 3
 
 
+def test_two_vectors_make_one_cluster_without_a_suggestion(spark):
+    pair = spark.createDataFrame([(1, [0.0, 2.0]), (2, [4.0, 0.0])], "id int, embedding array<double>")
+    model, _, suggestion = train_clusters(pair, "id")
+    assert suggestion.first().consensus_k is None and model.centers.tolist() == [[2.0, 1.0]]
+
+
 def sweep_of(spark, rows):
     return spark.createDataFrame([(*r, 0.0, 0) for r in rows], EVALUATION_SCHEMA)
 
