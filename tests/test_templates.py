@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from logsense.operators.frequency import assign_frequency_templates, distinct_me
 from logsense.operators.joins import lookup_join
 from logsense.operators.mining import merge_similar, mine_assignments, mine_templates, routed_messages
 from logsense.operators.templates import describe_templates, match_logs, match_messages, new_messages, template_table
+from logsense.session import shared_dir
 
 
 def logs_of(n=600, seed=1):
@@ -236,3 +238,42 @@ def test_blocks_of_a_large_group_lose_no_pair(spark, monkeypatch):
     named = mining.materialize(df.select("*", *mining.wide_hash("id", mining.F.col("template"))), "named")
     got = {(r.template, r.leader) for r in mining.similar_pairs(named, 0.65).join(named, ["id_a", "id_b"]).collect()}
     assert got == {(texts[i], texts[j]) for i, j in mining.nearest_leaders(texts, weights, 0.65)}
+
+
+def test_mining_leaves_no_table_but_its_result(spark):
+    folder = shared_dir(spark).removeprefix("file://")
+    messages = mining.materialize(distinct_messages(frame(spark, logs_of())), "given")
+    before = set(os.listdir(folder))
+    assigned = mine_assignments(messages)
+    assert [name.split("-")[0] for name in set(os.listdir(folder)) - before] == ["assigned"]
+    assert sum(r.n for r in assigned.collect()) == 600 and messages.count() > 0
+
+
+@pytest.mark.parametrize("similarity", [0.3, 0.65, 1.0])
+def test_pairs_are_the_same_in_any_number_of_passes(spark, monkeypatch, similarity):
+    rng = random.Random(10)
+    texts = sorted({" ".join(rng.choice(["a", "b", "c", "d", "<*>"]) for _ in range(8)) for _ in range(120)})
+    weights = [rng.randint(1, 9) for _ in texts]
+    df = spark.createDataFrame([(8, "r", t, n) for t, n in zip(texts, weights)], "n_tokens int, route_key string, template string, n bigint")
+    named = mining.materialize(df.select("*", *mining.wide_hash("id", mining.F.col("template"))), "named")
+    want = {(texts[i], texts[j]) for i, j in mining.nearest_leaders(texts, weights, similarity)}
+    for keys in (1, 100):
+        monkeypatch.setattr(mining, "PASS_KEYS", keys)
+        got = {(r.template, r.leader) for r in mining.similar_pairs(named, similarity).join(named, ["id_a", "id_b"]).collect()}
+        assert got == want
+
+
+def test_a_template_that_is_the_message_wins_and_needs_no_trie(spark, monkeypatch):
+    rows = [("a b", 7), ("a b", 5), ("a <*>", 1), ("<*> c", 2), ("x<*>y", 4), ("d e f", 6)]
+    known = spark.createDataFrame(rows, "template string, cluster_id bigint")
+    texts = ["a b", " a  b ", "a c", "q c", "x<*>y", "x1y", "d e f", "d e g"]
+    seen = []
+    match = templates._match_wild
+    monkeypatch.setattr(templates, "_match_wild", lambda m, t, parts: seen.append((m, t)) or match(m, t, parts))
+    messages = spark.createDataFrame([(t, 1) for t in texts], "message string, n bigint")
+    got = {r.message: (r.template, r.cluster_id) for r in match_messages(messages, known).collect()}
+    assert got == {
+        "a b": ("a b", 5), " a  b ": ("a b", 5), "a c": ("a <*>", 1), "q c": ("<*> c", 2), "x<*>y": ("x<*>y", 4),
+        "x1y": (None, None), "d e f": ("d e f", 6), "d e g": (None, None)}
+    assert sorted(r.message for r in seen[0][0].collect()) == ["a c", "d e g", "q c", "x1y"]
+    assert sorted(r.template for r in seen[0][1].collect()) == ["<*> c", "a <*>"]
